@@ -72,8 +72,8 @@ def _number_stats(view: str, columns: list[str]) -> str:
         v = dbl(c)
         parts.append(
             f"""SELECT '{c}' AS "column", count({c}) AS "count", {half_up(f"avg({v})", 4)} AS mean,
-            {half_up(f"stddev_samp({v})", 4)} AS std, min({v}) AS min, quantile_cont({v}, 0.25) AS p25,
-            quantile_cont({v}, 0.5) AS p50, quantile_cont({v}, 0.75) AS p75, max({v}) AS max FROM {view}"""
+            {half_up(f"stddev_samp({v})", 4)} AS std, min({v}) AS min, {half_up(f"quantile_cont({v}, 0.25)", 6)} AS p25,
+            {half_up(f"quantile_cont({v}, 0.5)", 6)} AS p50, {half_up(f"quantile_cont({v}, 0.75)", 6)} AS p75, max({v}) AS max FROM {view}"""
         )
     return " UNION ALL ".join(parts)
 

@@ -99,6 +99,18 @@ def violation_counts(reports: list[DataFrame]) -> DataFrame:
     return rows.groupBy("table", "rule").agg(F.count("*").alias("violations"))
 
 
+def rule_checklist(reports: dict[str, DataFrame]) -> DataFrame:
+    """One requirement per rule report: ``met`` when the report is empty."""
+    parts = [
+        report.agg(F.count("*").alias("violations")).select(
+            F.lit(number).alias("requirement_id"), F.lit(text).alias("requirement_description"), "violations"
+        )
+        for number, (text, report) in enumerate(reports.items(), start=1)
+    ]
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.withColumn("status", F.when(F.col("violations") == 0, "met").otherwise("open"))
+
+
 def payment_reconciliation(items: DataFrame, payments: DataFrame, tol: float = 0.01) -> DataFrame:
     """Orders whose payments do not add up to price plus freight."""
     due = items.groupBy("order_id").agg(F.sum(F.col("price") + F.col("freight_value")).alias("due"))

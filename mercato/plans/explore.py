@@ -42,7 +42,8 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None, approx: bo
         F.max("value").alias("max"),
     )
     quartiles = quantile_columns(exact_quantiles(long, ["column"], "value", list(QUARTILES), approx), ["column"], QUARTILES)
-    return moments.join(quartiles, "column", "left").select("column", "count", "mean", "std", "min", *QUARTILES.values(), "max")
+    shown = [round_half_up(F.col(n), 6).alias(n) for n in QUARTILES.values()]
+    return moments.join(quartiles, "column", "left").select("column", "count", "mean", "std", "min", *shown, "max")
 
 
 def describe_text(df: DataFrame, columns: list[str]) -> DataFrame:
