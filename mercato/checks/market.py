@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.operators.profile import literal_rows
 from mercato.plans.documents import build_product_documents
 from mercato.sources.io import read_table
 
@@ -147,9 +148,8 @@ class Market:
 
     @cached_property
     def translation(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            list(CATEGORY_NAMES.items()), "product_category_name STRING, product_category_name_english STRING"
-        )
+        names = ["product_category_name", "product_category_name_english"]
+        return literal_rows(self.spark, names, list(CATEGORY_NAMES.items()))
 
     @cached_property
     def stock(self) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,6 +10,12 @@ from mercato.functions.numeric import percent
 from mercato.functions.ordering import top_k
 
 
+def literal_rows(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A small table of constants whose size the optimizer knows."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def value_counts(df: DataFrame, *columns: str, name: str = "n") -> DataFrame:
     """Rows per distinct value, NULL values left out."""
     kept = df

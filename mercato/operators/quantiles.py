@@ -11,23 +11,27 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: list[float], approx: bool = False, accuracy: int = ACCURACY
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    probs: list[float],
+    approx: bool = False,
+    few_groups: bool = False,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """One row per group and probability: keys, ``prob``, ``quantile`` (double).
 
     NULL values are ignored; a group without values has no rows.  ``approx``
-    answers with ``percentile_approx`` in one pass.
+    answers with ``percentile_approx`` in one pass.  ``few_groups`` is the
+    caller's promise that the number of groups is fixed and small (such as the
+    columns of a table): the cuts, a few numbers per group, are then broadcast.
     """
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     if approx:
@@ -43,6 +47,8 @@ def exact_quantiles(
     counts = base.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
 
     ranges = cuts.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_cuts", "_total")
+    if few_groups:
+        ranges = F.broadcast(ranges)
     on_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys])
     placed = counts.join(ranges, on_key).select(
         *keys, "_v", "_n", "_total", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_range")
@@ -67,6 +73,8 @@ def exact_quantiles(
         .select(*[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_range").alias("_w_range"), "_start", "_ranks")
     )
 
+    if few_groups:
+        wanted = F.broadcast(wanted)
     on_range = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys], F.col("_range") == F.col("_w_range")
     )

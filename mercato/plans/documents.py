@@ -25,25 +25,36 @@ def heads(catalog: DataFrame) -> DataFrame:
 
 
 def _product_metrics(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    per_order = items.groupBy("order_id", "product_id").agg(F.count("*").alias("units"), F.sum("price").alias("revenue"))
+    # Items, orders and reviews meet on the order key, so each is shuffled once;
+    # the first grouping keeps that partitioning and counts a review once per
+    # product however many items of it the order had.
     per_review = reviews.groupBy("order_id").agg(
         F.count("*").alias("reviews"),
         F.sum("review_score").alias("score_sum"),
         F.max(F.struct("review_creation_date", "review_id")).alias("latest"),
     )
-    return (
-        per_order.join(orders.select("order_id", "order_purchase_timestamp"), "order_id")
-        .join(per_review, "order_id", "left")
-        .groupBy("product_id")
+    facts = orders.select("order_id", "order_purchase_timestamp").join(per_review, "order_id", "left")
+    per_order = (
+        items.select("order_id", "product_id", "price")
+        .join(facts, "order_id")
+        .groupBy("order_id", "product_id")
         .agg(
-            F.sum("units").alias("units"),
-            F.sum("revenue").alias("revenue"),
+            F.count("*").alias("units"),
+            F.sum("price").alias("revenue"),
             F.max("order_purchase_timestamp").alias("last_sale"),
-            F.sum("reviews").alias("reviews"),
-            F.sum("score_sum").alias("score_sum"),
+            F.max("reviews").alias("reviews"),
+            F.max("score_sum").alias("score_sum"),
             F.max("latest").alias("latest"),
         )
     )
+    return per_order.groupBy("product_id").agg(
+        F.sum("units").alias("units"),
+        F.sum("revenue").alias("revenue"),
+        F.max("last_sale").alias("last_sale"),
+        F.sum("reviews").alias("reviews"),
+        F.sum("score_sum").alias("score_sum"),
+        F.max("latest").alias("latest"),
+    )
 
 
 def product_offers(items: DataFrame, sellers: DataFrame, stock: DataFrame) -> DataFrame:
@@ -56,9 +67,8 @@ def product_offers(items: DataFrame, sellers: DataFrame, stock: DataFrame) -> Da
     )
 
 
-def _seller_pages(offers: DataFrame, page_size: int) -> DataFrame:
+def _seller_pages(offers: DataFrame, sizes: DataFrame, page_size: int) -> DataFrame:
     """Offers gathered into arrays of about ``page_size``; a long list spans several pages."""
-    sizes = offers.groupBy("product_id").agg(F.count("*").alias("seller_count"))
     pages = F.ceil(F.col("seller_count") / page_size)
     offer = F.struct(
         "seller_id",
@@ -71,7 +81,7 @@ def _seller_pages(offers: DataFrame, page_size: int) -> DataFrame:
         offers.join(sizes, "product_id")
         .withColumn("page", F.pmod(F.xxhash64("seller_id"), pages).cast("int"))
         .groupBy("product_id", "page")
-        .agg(F.sort_array(F.collect_list(offer)).alias("sellers"), F.max("seller_count").alias("seller_count"))
+        .agg(F.sort_array(F.collect_list(offer)).alias("sellers"))
     )
 
 
@@ -91,15 +101,16 @@ def build_product_documents(
     product with more than ``page_size`` sellers continues on pages 1, 2, ...
     of the same ``_id``; page 0 is the document proper.
     """
-    pages = _seller_pages(product_offers(items, sellers, stock), page_size)
-    sizes = pages.groupBy("product_id").agg(F.max("seller_count").alias("seller_count"))
+    offers = product_offers(items, sellers, stock)
+    sizes = offers.groupBy("product_id").agg(F.count("*").alias("seller_count"))
+    pages = _seller_pages(offers, sizes, page_size)
     last_page = F.greatest(F.ceil(F.coalesce("seller_count", F.lit(0)) / page_size) - 1, F.lit(0)).cast("int")
     base = (
         products.join(translation, "product_category_name", "left")
         .join(_product_metrics(items, orders, reviews), "product_id", "left")
         .join(sizes, "product_id", "left")
         .withColumn("page", F.explode(F.sequence(F.lit(0), last_page)))
-        .join(pages.drop("seller_count"), ["product_id", "page"], "left")
+        .join(pages, ["product_id", "page"], "left")
     )
     no_sellers = F.array().cast(pages.schema["sellers"].dataType)
     return base.select(

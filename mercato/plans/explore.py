@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from mercato.functions.dates import days_floor
 from mercato.functions.numeric import count_where, mean, percent, round_half_up
 from mercato.functions.ordering import top_k
-from mercato.operators.profile import as_text, numeric_columns, top_values, unpivot, unpivot_row, value_counts, with_share
+from mercato.operators.profile import as_text, literal_rows, numeric_columns, top_values, unpivot, unpivot_row, value_counts, with_share
 from mercato.operators.quantiles import exact_quantiles, quantile_columns
 
 PURCHASE = "order_purchase_timestamp"
@@ -41,7 +41,7 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None, approx: bo
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = quantile_columns(exact_quantiles(long, ["column"], "value", list(QUARTILES), approx), ["column"], QUARTILES)
+    quartiles = quantile_columns(exact_quantiles(long, ["column"], "value", list(QUARTILES), approx, few_groups=True), ["column"], QUARTILES)
     shown = [round_half_up(F.col(n), 6).alias(n) for n in QUARTILES.values()]
     return moments.join(quartiles, "column", "left").select("column", "count", "mean", "std", "min", *shown, "max")
 
@@ -60,7 +60,7 @@ def describe_text(df: DataFrame, columns: list[str]) -> DataFrame:
         F.max("n").alias("freq"),
         F.min(F.struct((-F.col("n")).alias("rank"), "value")).alias("best"),
     )
-    blank = df.sparkSession.createDataFrame([(n,) for n in columns], "column STRING")
+    blank = literal_rows(df.sparkSession, ["column"], [(n,) for n in columns])
     return blank.join(found, "column", "left").select(
         "column",
         F.coalesce("count", F.lit(0)).alias("count"),
@@ -194,8 +194,7 @@ def orders_by_year(orders: DataFrame) -> DataFrame:
 def _over_domain(df: DataFrame, label: Column, domain: list[str], name: str) -> DataFrame:
     """Counts for every value of a fixed domain, in its order; a missing value has no count."""
     counts = value_counts(df.select(label.alias(name)), name)
-    rows = [(i, value) for i, value in enumerate(domain)]
-    names = df.sparkSession.createDataFrame(rows, f"position INT, {name} STRING")
+    names = literal_rows(df.sparkSession, ["position", name], list(enumerate(domain)))
     return names.join(counts, name, "left").orderBy("position").select(name, "position", "n")
 
 
@@ -307,8 +306,9 @@ def trimmed_histogram(df: DataFrame, columns: list[str], q: float = 0.99, bins:
     The last bin is closed; empty bins are listed with zero.
     """
     long = unpivot({n: F.col(n).cast("double") for n in columns}, df).where(F.col("value").isNotNull())
-    limits = exact_quantiles(long, ["column"], "value", [q]).select("column", F.col("quantile").alias("limit"))
-    kept = long.join(limits, "column").where(F.col("value") <= F.col("limit"))
+    # Limits and ends have one row per named column, so they can be broadcast.
+    limits = exact_quantiles(long, ["column"], "value", [q], few_groups=True).select("column", F.col("quantile").alias("limit"))
+    kept = long.join(F.broadcast(limits), "column").where(F.col("value") <= F.col("limit"))
     counts = kept.groupBy("column", "value").agg(F.count("*").alias("n"))
     ends = counts.groupBy("column").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     flat = F.col("low") == F.col("high")
@@ -319,7 +319,7 @@ def trimmed_histogram(df: DataFrame, columns: list[str], q: float = 0.99, bins:
     )
     width = (F.col("high") - F.col("low")) / bins
     place = F.least(F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * bins), F.lit(bins - 1))
-    filled = counts.join(ends, "column").groupBy("column", place.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
+    filled = counts.join(F.broadcast(ends), "column").groupBy("column", place.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
     grid = ends.select("column", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "low", width.alias("width"))
     return grid.join(filled, ["column", "bin"], "left").select(
         "column",
@@ -337,16 +337,17 @@ def payment_type_distribution(payments: DataFrame) -> DataFrame:
     return with_share(value_counts(payments, "payment_type"), 1).orderBy(F.col("n").desc(), "payment_type")
 
 
-def value_stats(df: DataFrame, key: str, value: str) -> DataFrame:
+def value_stats(df: DataFrame, key: str, value: str, few_groups: bool = False) -> DataFrame:
     """Mean, exact median and sum per key, to two decimals."""
     kept = df.where(F.col(key).isNotNull())
     sums = kept.groupBy(key).agg(mean(F.col(value), 2).alias("mean"), F.round(F.sum(value), 2).alias("sum"))
-    medians = exact_quantiles(kept, [key], value, [0.5]).select(key, round_half_up(F.col("quantile"), 2).alias("median"))
+    medians = exact_quantiles(kept, [key], value, [0.5], few_groups=few_groups).select(key, round_half_up(F.col("quantile"), 2).alias("median"))
     return sums.join(medians, key, "left").select(key, "mean", "median", "sum")
 
 
 def payment_value_by_type(payments: DataFrame) -> DataFrame:
-    return value_stats(payments, "payment_type", "payment_value")
+    """Payment values per type; there are five types at most."""
+    return value_stats(payments, "payment_type", "payment_value", few_groups=True)
 
 
 def review_score_distribution(reviews: DataFrame) -> DataFrame:

@@ -76,11 +76,13 @@ def customer_status_history(orders: DataFrame, customer_id: object, status: str,
 def _category_sales(
     items: DataFrame, products: DataFrame, translation: DataFrame, orders: DataFrame, start: str, end: str
 ) -> DataFrame:
+    # Products are translated before they meet the items: joining all items on
+    # the category would put a popular category into one partition.
+    named = products.select("product_id", "product_category_name").join(translation, "product_category_name", "left")
     sold = (
         items.select("order_id", "order_item_id", "product_id", "price", "freight_value")
         .join(delivered(orders, start, end).select("order_id"), "order_id")
-        .join(products.select("product_id", "product_category_name"), "product_id")
-        .join(translation, "product_category_name", "left")
+        .join(named.select("product_id", "product_category_name_english"), "product_id")
     )
     # One row per category and order first: the distinct count becomes a plain
     # count and a category with a third of all items is spread over its orders.
@@ -133,14 +135,14 @@ def category_sales_labelled(
 
 def state_sales(orders: DataFrame, customers: DataFrame, items: DataFrame, start: str, end: str) -> DataFrame:
     """Orders and sales of delivered orders per customer state."""
-    per_order = (
+    sold = (
         delivered(orders, start, end)
         .select("order_id", "customer_id")
-        .join(items.groupBy("order_id").agg(F.sum("price").alias("sales")), "order_id")
         .join(customers.select("customer_id", "customer_state"), "customer_id")
+        .join(items.select("order_id", "price"), "order_id")
     )
-    by_state = per_order.groupBy("customer_state").agg(
-        F.count_distinct("order_id").alias("total_orders"), F.sum("sales").alias("total_sales")
+    by_state = sold.groupBy("customer_state").agg(
+        F.count_distinct("order_id").alias("total_orders"), F.sum("price").alias("total_sales")
     )
     return by_state.orderBy(newest_first("total_sales"), "customer_state")
 
@@ -148,14 +150,16 @@ def state_sales(orders: DataFrame, customers: DataFrame, items: DataFrame, start
 # -- payments ---------------------------------------------------------------
 
 
-def _payment_totals(payments: DataFrame) -> DataFrame:
-    # Payments collapse to one row per order before the join; an order with
-    # very many payments is reduced on the map side.
-    return payments.groupBy("order_id").agg(
+def _payment_totals(recent: DataFrame, payments: DataFrame, how: str) -> DataFrame:
+    # The period is applied before the payments are aggregated.  The set of
+    # types holds at most the handful of payment types there are.
+    paid = recent.select("order_id", "customer_id", "order_status").join(payments, "order_id", how)
+    types = F.array_join(F.sort_array(F.collect_set("payment_type")), ", ")
+    return paid.groupBy("order_id", "customer_id", "order_status").agg(
         F.count("payment_sequential").alias("payment_methods_count"),
-        F.sum("payment_value").alias("total_paid"),
+        F.coalesce(F.sum("payment_value"), F.lit(0)).alias("total_paid"),
         F.max("payment_installments").alias("max_installments"),
-        F.array_join(F.sort_array(F.collect_set("payment_type")), ", ").alias("payment_types"),
+        F.nullif(types, F.lit("")).alias("payment_types"),
     )
 
 
@@ -164,10 +168,9 @@ def order_payment_summary(
 ) -> DataFrame:
     """Payments per order of the last ``days`` days, above a minimum."""
     since = F.date_sub(as_date(as_of), days).cast("timestamp_ntz")
-    recent = orders.where(F.col(PURCHASE) >= since).select("order_id", "customer_id", "order_status")
     # The minimum drops orders without payments, so the outer join is an inner one.
-    summary = recent.join(_payment_totals(payments), "order_id").where(F.col("total_paid") > min_total)
-    return summary.orderBy(newest_first("total_paid"), "order_id")
+    summary = _payment_totals(orders.where(F.col(PURCHASE) >= since), payments, "inner")
+    return summary.where(F.col("total_paid") > min_total).orderBy(newest_first("total_paid"), "order_id")
 
 
 def order_payment_summary_bounded(
@@ -177,12 +180,7 @@ def order_payment_summary_bounded(
     day = as_date(as_of)
     since, until = F.date_sub(day, days).cast("timestamp_ntz"), F.date_add(day, 1).cast("timestamp_ntz")
     recent = orders.where((F.col(PURCHASE) >= since) & (F.col(PURCHASE) < until))
-    summary = (
-        recent.select("order_id", "customer_id", "order_status")
-        .join(_payment_totals(payments), "order_id", "left")
-        .withColumn("payment_methods_count", F.coalesce("payment_methods_count", F.lit(0)))
-        .withColumn("total_paid", F.coalesce("total_paid", F.lit(0)))
-    )
+    summary = _payment_totals(recent, payments, "left")
     return summary.where(F.col("total_paid") > min_total).orderBy(newest_first("total_paid"), "order_id")
 
 
@@ -190,21 +188,15 @@ def order_payment_summary_bounded(
 
 
 def _product_totals(products: DataFrame, sold: DataFrame, units: Column, revenue: Column, min_orders: int) -> DataFrame:
-    # One row per product, order and seller keeps both distinct counts cheap
-    # and spreads a product with a third of all items over its orders.
-    per_order = sold.groupBy("product_id", "order_id", "seller_id").agg(
-        units.alias("units"),
-        revenue.alias("revenue"),
-        F.sum("price").alias("price_sum"),
-        F.count("price").alias("prices"),
-        F.sum("freight_value").alias("freight"),
-    )
-    per_product = per_order.groupBy("product_id").agg(
+    # The two distinct counts are planned as one expanded aggregation keyed by
+    # product and distinct value, so a product with a third of all items is
+    # spread over its orders.  Products join after the aggregation.
+    per_product = sold.groupBy("product_id").agg(
         F.count_distinct("order_id").alias("orders_count"),
-        F.sum("units").alias("total_items_sold"),
-        F.sum("revenue").alias("total_revenue"),
-        (F.sum("price_sum").cast("double") / F.sum("prices")).alias("avg_unit_price"),
-        F.sum("freight").alias("total_freight_cost"),
+        units.alias("total_items_sold"),
+        revenue.alias("total_revenue"),
+        (F.sum("price").cast("double") / F.count("price")).alias("avg_unit_price"),
+        F.sum("freight_value").alias("total_freight_cost"),
         F.count_distinct("seller_id").alias("sellers_count"),
     )
     names = products.select("product_id", "product_category_name")
@@ -423,18 +415,16 @@ def _geo_matrix(
         .select("order_id", "customer_id", days.alias("_days"))
     )
     placed = arrived.join(customers.select("customer_id", "customer_state"), "customer_id")
-    # Items collapse to one row per order and seller before they meet sellers.
-    sold = items.groupBy("order_id", "seller_id").agg(
-        F.count("*").alias("_items"), F.sum("price").alias("_sales"), F.count("price").alias("_prices")
+    lines = placed.join(items.select("order_id", "seller_id", "price"), "order_id").join(
+        sellers.select("seller_id", "seller_state"), "seller_id"
     )
-    lines = placed.join(sold, "order_id").join(sellers.select("seller_id", "seller_state"), "seller_id")
     matrix = lines.groupBy("customer_state", "seller_state").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
         F.count_distinct("seller_id").alias("unique_sellers"),
-        F.sum("_sales").alias("total_sales"),
-        (F.sum("_sales").cast("double") / F.sum("_prices")).alias("avg_order_value"),
-        (F.sum(F.col("_days") * F.col("_items")).cast("double") / F.sum("_items")).alias("avg_delivery_days"),
+        F.sum("price").alias("total_sales"),
+        (F.sum("price").cast("double") / F.count("price")).alias("avg_order_value"),
+        (F.sum("_days").cast("double") / F.count("_days")).alias("avg_delivery_days"),
     )
     return matrix.where(F.col("total_orders") >= min_orders)
 
