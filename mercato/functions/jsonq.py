@@ -7,7 +7,7 @@ of typed variant extractions that Spark runs inside the scan stage.
 from __future__ import annotations
 
 import decimal
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,6 +42,10 @@ def _scalar_matches(value: Column, path: str, wanted: object) -> Column:
     return kind.rlike(NUMERIC_SCHEMA) & (_at(value, path, "decimal(38,10)") == number)
 
 
+def _element_test(wanted: object) -> Callable[[Column], Column]:
+    return lambda element: F.coalesce(_contains(element, "$", wanted), F.lit(False))
+
+
 def _contains(value: Column, path: str, pattern: object) -> Column:
     if isinstance(pattern, Mapping):
         found = F.schema_of_variant(_at(value, path, "variant")).startswith("OBJECT")
@@ -52,7 +56,7 @@ def _contains(value: Column, path: str, pattern: object) -> Column:
         elements = _at(value, path, "array<variant>")
         found = elements.isNotNull()
         for wanted in pattern:
-            found = found & F.exists(elements, lambda e, w=wanted: F.coalesce(_contains(e, "$", w), F.lit(False)))
+            found = found & F.exists(elements, _element_test(wanted))
         return found
     return _scalar_matches(value, path, pattern)
 

@@ -41,9 +41,11 @@ def _accented_letters() -> dict[str, str]:
 
 
 def folded(text: Column) -> Column:
-    """Lower case without diacritics."""
+    """Lower case without diacritics; plain ASCII text skips the letter table."""
     letters = _accented_letters()
-    return F.translate(F.lower(text), "".join(letters), "".join(letters.values()))
+    lower = F.lower(text)
+    plain = F.translate(lower, "".join(letters), "".join(letters.values()))
+    return F.when(F.octet_length(text) == F.char_length(text), lower).otherwise(plain)
 
 
 def tokens(text: Column, stop_words: tuple[str, ...] = STOP_WORDS) -> Column:

@@ -37,20 +37,13 @@ def _product_metrics(items: DataFrame, orders: DataFrame, reviews: DataFrame) ->
     per_order = (
         items.select("order_id", "product_id", "price")
         .join(facts, "order_id")
-        .groupBy("order_id", "product_id")
-        .agg(
-            F.count("*").alias("units"),
-            F.sum("price").alias("revenue"),
-            F.max("order_purchase_timestamp").alias("last_sale"),
-            F.max("reviews").alias("reviews"),
-            F.max("score_sum").alias("score_sum"),
-            F.max("latest").alias("latest"),
-        )
+        .groupBy("order_id", "product_id", "order_purchase_timestamp", "reviews", "score_sum", "latest")
+        .agg(F.count("*").alias("units"), F.sum("price").alias("revenue"))
     )
     return per_order.groupBy("product_id").agg(
         F.sum("units").alias("units"),
         F.sum("revenue").alias("revenue"),
-        F.max("last_sale").alias("last_sale"),
+        F.max("order_purchase_timestamp").alias("last_sale"),
         F.sum("reviews").alias("reviews"),
         F.sum("score_sum").alias("score_sum"),
         F.max("latest").alias("latest"),
