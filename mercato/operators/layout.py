@@ -214,9 +214,12 @@ def clustering_report(table: DataFrame, column: str) -> DataFrame:
     rows = table.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("pos"), value.cast("double").alias("v")
     )
+    pos, v = F.col("pos").cast("double"), F.col("v")
+    # A file with a single value has no correlation, yet it is perfectly clustered.
+    corr = F.covar_pop(pos, v) / F.nullif(F.stddev_pop(pos) * F.stddev_pop(v), F.lit(0.0))
     files = rows.groupBy("file").agg(
         F.count("*").alias("row_count"),
-        F.abs(F.corr(F.col("pos").cast("double"), F.col("v"))).alias("abs_corr"),
+        F.when(F.min("v") == F.max("v"), F.lit(1.0)).otherwise(F.abs(corr)).alias("abs_corr"),
         F.min("v").alias("low"),
         F.max("v").alias("high"),
     )
