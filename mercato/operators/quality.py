@@ -85,11 +85,11 @@ def rule_unique(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
 def rule_foreign_key(child: DataFrame, table: str, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Every non-NULL child key must exist in the parent.
 
-    Child rows collapse to one row per key before the join, so a hot key costs
+    Both sides collapse to one row per key before the join, so a hot key costs
     one row; ``observed`` is the number of child rows behind it.
     """
     used = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    known = parent.select(F.col(parent_key).alias(key))
+    known = parent.select(F.col(parent_key).alias(key)).distinct()
     return _report(used.join(known, key, "left_anti"), table, f"{key} foreign key", [key], F.col("_n"))
 
 

@@ -3,8 +3,9 @@
 The built-in exact percentile keeps a value-to-count map of the whole group in
 one buffer.  Here the values are counted first (copies of one value collapse
 before the shuffle), approximate quantiles cut each group into a few ranges,
-and only the narrow range that holds the wanted rank is sorted.  The result is
-exact however good the cuts are; they only decide how much is sorted.
+each range is divided into equal slots, and only the slot that holds the wanted
+rank is sorted.  The result is exact however good the cuts are; they only decide
+how much is sorted.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
+SLOTS = 512
 
 
 def exact_quantiles(
@@ -50,15 +52,24 @@ def exact_quantiles(
     if few_groups:
         ranges = F.broadcast(ranges)
     on_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys])
-    placed = counts.join(ranges, on_key).select(
-        *keys, "_v", "_n", "_total", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_range")
+    # Slots rise with the value inside a range; the open ranges at both ends,
+    # which hold a wanted rank only if the cuts missed it, are one slot each.
+    low, high = F.get("_cuts", F.col("_range") - 1), F.get("_cuts", F.col("_range"))
+    slot = F.least(F.floor((F.col("_v") - low) / F.nullif(high - low, F.lit(0.0)) * SLOTS), F.lit(SLOTS - 1))
+    placed = (
+        counts.join(ranges, on_key)
+        .withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
+        .withColumn("_slot", F.col("_range") * SLOTS + F.coalesce(slot.cast("int"), F.lit(0)))
+        .select(*keys, "_v", "_n", "_total", "_slot")
     )
 
-    # At most 2 * len(probs) + 1 ranges per group, so this window is small.
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = F.array(*[F.struct(F.lit(float(p)).alias("prob"), (F.lit(float(p)) * (F.col("_total") - 1)).alias("rank")) for p in probs])
+    # At most SLOTS * (2 * len(probs) + 1) slots per group, so this window is small.
+    before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    ranks = F.array(
+        *[F.struct(F.lit(float(p)).alias("prob"), (F.lit(float(p)) * (F.col("_total") - 1)).alias("rank")) for p in probs]
+    )
     wanted = (
-        placed.groupBy(*keys, "_range")
+        placed.groupBy(*keys, "_slot")
         .agg(F.sum("_n").alias("_size"), F.max("_total").alias("_total"))
         .withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
         .withColumn(
@@ -70,15 +81,15 @@ def exact_quantiles(
             ),
         )
         .where(F.size("_ranks") > 0)
-        .select(*[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_range").alias("_w_range"), "_start", "_ranks")
+        .select(*[F.col(k).alias(f"_w_{k}") for k in keys], F.col("_slot").alias("_w_slot"), "_start", "_ranks")
     )
 
     if few_groups:
         wanted = F.broadcast(wanted)
     on_range = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys], F.col("_range") == F.col("_w_range")
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_w_{k}")) for k in keys], F.col("_slot") == F.col("_w_slot")
     )
-    upto = Window.partitionBy(*keys, "_range").orderBy("_v")
+    upto = Window.partitionBy(*keys, "_slot").orderBy("_v")
     located = (
         placed.join(wanted, on_range)
         .withColumn("_last", F.col("_start") + F.sum("_n").over(upto.rowsBetween(Window.unboundedPreceding, 0)) - 1)

@@ -134,10 +134,15 @@ def catalog_with_reviews(catalog: DataFrame, product_reviews: DataFrame) -> Data
     """Each product next to each of its reviews; products without reviews stay.
 
     The result is one row per pair, not an array per product, so a product with
-    very many reviews stays spread over tasks.
+    very many reviews stays spread over tasks.  It is an inner join plus the
+    products without reviews, because a hot key on the inner side of an outer
+    join cannot be split.
     """
     reviews = product_reviews.withColumnRenamed("product_id", "_id")
-    return heads(catalog).select("_id", "name", F.col("category.name_en").alias("category")).join(reviews, "_id", "left")
+    products = heads(catalog).select("_id", "name", F.col("category.name_en").alias("category"))
+    reviewed = products.join(reviews, "_id")
+    bare = products.join(reviews.select("_id").distinct(), "_id", "left_anti")
+    return reviewed.unionByName(bare, allowMissingColumns=True)
 
 
 # -- catalog queries --------------------------------------------------------

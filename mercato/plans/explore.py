@@ -146,7 +146,9 @@ def relationship_cardinality(tables: Mapping[str, DataFrame], keys: Mapping[str,
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str, relation: str) -> DataFrame:
     """Distinct non-NULL child keys that the parent lacks."""
     used = child.select(key).where(F.col(key).isNotNull()).distinct()
-    missing = used.join(parent.select(key), key, "left_anti")
+    # Distinct on both sides: a hot parent key would otherwise sit in one
+    # partition, and the join keeps the partitioning of the distinct.
+    missing = used.join(parent.select(key).distinct(), key, "left_anti")
     return missing.agg(F.count("*").alias("orphans")).select(F.lit(relation).alias("relation"), "orphans")
 
 

@@ -150,16 +150,15 @@ def state_sales(orders: DataFrame, customers: DataFrame, items: DataFrame, start
 # -- payments ---------------------------------------------------------------
 
 
-def _payment_totals(recent: DataFrame, payments: DataFrame, how: str) -> DataFrame:
+def _payment_totals(recent: DataFrame, payments: DataFrame) -> DataFrame:
     # The period is applied before the payments are aggregated.  The set of
     # types holds at most the handful of payment types there are.
-    paid = recent.select("order_id", "customer_id", "order_status").join(payments, "order_id", how)
-    types = F.array_join(F.sort_array(F.collect_set("payment_type")), ", ")
+    paid = recent.select("order_id", "customer_id", "order_status").join(payments, "order_id")
     return paid.groupBy("order_id", "customer_id", "order_status").agg(
         F.count("payment_sequential").alias("payment_methods_count"),
         F.coalesce(F.sum("payment_value"), F.lit(0)).alias("total_paid"),
         F.max("payment_installments").alias("max_installments"),
-        F.nullif(types, F.lit("")).alias("payment_types"),
+        F.nullif(F.array_join(F.sort_array(F.collect_set("payment_type")), ", "), F.lit("")).alias("payment_types"),
     )
 
 
@@ -169,7 +168,7 @@ def order_payment_summary(
     """Payments per order of the last ``days`` days, above a minimum."""
     since = F.date_sub(as_date(as_of), days).cast("timestamp_ntz")
     # The minimum drops orders without payments, so the outer join is an inner one.
-    summary = _payment_totals(orders.where(F.col(PURCHASE) >= since), payments, "inner")
+    summary = _payment_totals(orders.where(F.col(PURCHASE) >= since), payments)
     return summary.where(F.col("total_paid") > min_total).orderBy(newest_first("total_paid"), "order_id")
 
 
@@ -180,7 +179,13 @@ def order_payment_summary_bounded(
     day = as_date(as_of)
     since, until = F.date_sub(day, days).cast("timestamp_ntz"), F.date_add(day, 1).cast("timestamp_ntz")
     recent = orders.where((F.col(PURCHASE) >= since) & (F.col(PURCHASE) < until))
-    summary = _payment_totals(recent, payments, "left")
+    summary = _payment_totals(recent, payments)
+    if min_total < 0:
+        unpaid = recent.join(payments.select("order_id").distinct(), "order_id", "left_anti")
+        blank = unpaid.select(
+            "order_id", "customer_id", "order_status", F.lit(0).alias("payment_methods_count"), F.lit(0).alias("total_paid")
+        )
+        summary = summary.unionByName(blank, allowMissingColumns=True)
     return summary.where(F.col("total_paid") > min_total).orderBy(newest_first("total_paid"), "order_id")
 
 
