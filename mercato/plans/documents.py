@@ -24,30 +24,27 @@ def heads(catalog: DataFrame) -> DataFrame:
 # -- building documents -----------------------------------------------------
 
 
-def _product_metrics(items: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:
-    # Items, orders and reviews meet on the order key, so each is shuffled once;
-    # the first grouping keeps that partitioning and counts a review once per
-    # product however many items of it the order had.
-    per_review = reviews.groupBy("order_id").agg(
+def _product_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
+    sold = items.select("order_id", "product_id", "price").join(
+        orders.select("order_id", "order_purchase_timestamp"), "order_id"
+    )
+    return sold.groupBy("product_id").agg(
+        F.count("*").alias("units"),
+        F.sum("price").alias("revenue"),
+        F.max("order_purchase_timestamp").alias("last_sale"),
+    )
+
+
+def _product_ratings(items: DataFrame, reviews: DataFrame) -> DataFrame:
+    # A review counts once per product however many items of it the order had.
+    review = ["review_id", "review_score", "review_creation_date"]
+    once = items.select("order_id", "product_id").join(reviews.select("order_id", *review), "order_id")
+    once = once.select("product_id", *review).distinct()
+    return once.groupBy("product_id").agg(
         F.count("*").alias("reviews"),
         F.sum("review_score").alias("score_sum"),
         F.max(F.struct("review_creation_date", "review_id")).alias("latest"),
     )
-    facts = orders.select("order_id", "order_purchase_timestamp").join(per_review, "order_id", "left")
-    per_order = (
-        items.select("order_id", "product_id", "price")
-        .join(facts, "order_id")
-        .groupBy("order_id", "product_id", "order_purchase_timestamp", "reviews", "score_sum", "latest")
-        .agg(F.count("*").alias("units"), F.sum("price").alias("revenue"))
-    )
-    return per_order.groupBy("product_id").agg(
-        F.sum("units").alias("units"),
-        F.sum("revenue").alias("revenue"),
-        F.max("order_purchase_timestamp").alias("last_sale"),
-        F.sum("reviews").alias("reviews"),
-        F.sum("score_sum").alias("score_sum"),
-        F.max("latest").alias("latest"),
-    )
 
 
 def product_offers(items: DataFrame, sellers: DataFrame, stock: DataFrame) -> DataFrame:
@@ -100,7 +97,8 @@ def build_product_documents(
     last_page = F.greatest(F.ceil(F.coalesce("seller_count", F.lit(0)) / page_size) - 1, F.lit(0)).cast("int")
     base = (
         products.join(translation, "product_category_name", "left")
-        .join(_product_metrics(items, orders, reviews), "product_id", "left")
+        .join(_product_sales(items, orders), "product_id", "left")
+        .join(_product_ratings(items, reviews), "product_id", "left")
         .join(sizes, "product_id", "left")
         .withColumn("page", F.explode(F.sequence(F.lit(0), last_page)))
         .join(pages, ["product_id", "page"], "left")
