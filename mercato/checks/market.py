@@ -23,6 +23,24 @@ YEAR_START, YEAR_END = "1997-01-01", "1998-01-01"
 CATEGORY_NAMES = {"ECONOMY": "economy", "LARGE": "large", "MEDIUM": "medium", "PROMO": "promotion", "SMALL": "small"}
 
 
+# Columns of the supplied tables.
+SUPPLIED = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ,
+        o_orderpriority STRING""",
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,
+        l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,
+        l_shipdate TIMESTAMP_NTZ""",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+}
+
+
 def _shifted(ts: str, unit: str, amount: Column) -> Column:
     return F.timestamp_add(unit, amount, F.col(ts))
 
@@ -42,7 +60,7 @@ class Market:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.folder}/{name}.parquet")
+        return read_table(self.spark, f"{self.folder}/{name}.parquet", SUPPLIED.get(name))
 
     @cached_property
     def _places(self) -> DataFrame:

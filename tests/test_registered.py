@@ -8,7 +8,6 @@ from compare import difference, open_tables
 from mercato.checks import ORACLES, QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-EMPTY_AT_THIS_SIZE = {"geo_sales_matrix", "geo_sales_matrix_rounded"}
 
 
 @pytest.fixture(scope="module")
@@ -35,3 +34,12 @@ def test_entry(spark):
     import __spark_entry__ as contract
 
     assert contract.entry(spark).columns[0] == "category"
+
+
+def test_declared_columns_match_the_files(spark):
+    from mercato.checks.market import SUPPLIED
+
+    for name, declared in SUPPLIED.items():
+        found = spark.read.parquet(f"{FOLDER}/{name}.parquet").schema
+        wanted = spark.createDataFrame([], declared).schema
+        assert [(f.name, f.dataType) for f in found] == [(f.name, f.dataType) for f in wanted], name
