@@ -273,9 +273,9 @@ TS = "order_purchase_timestamp"
 @check(
     "date_features",
     "s_orders",
-    f"""SELECT *, {big(f"year({TS})")} AS year, {big(f"month({TS})")} AS month, monthname({TS}) AS month_name,
-        {big(f"day({TS})")} AS day, {big(f"isodow({TS}) - 1")} AS dayofweek, dayname({TS}) AS dayofweek_name,
-        {big(f"quarter({TS})")} AS quarter FROM s_orders""",
+    f"""SELECT *, CAST(year({TS}) AS INTEGER) AS year, CAST(month({TS}) AS INTEGER) AS month, monthname({TS}) AS month_name,
+        CAST(day({TS}) AS INTEGER) AS day, CAST(isodow({TS}) - 1 AS INTEGER) AS dayofweek, dayname({TS}) AS dayofweek_name,
+        CAST(quarter({TS}) AS INTEGER) AS quarter FROM s_orders""",
 )
 def _(m):
     return explore.date_features(m.orders)
@@ -296,7 +296,7 @@ def _(m):
     return explore.orders_by_month(m.orders)
 
 
-@check("orders_by_year", "s_orders", f"SELECT year({TS}) AS year, count(*) AS total_orders FROM s_orders GROUP BY 1")
+@check("orders_by_year", "s_orders", f"SELECT CAST(year({TS}) AS INTEGER) AS year, count(*) AS total_orders FROM s_orders GROUP BY 1")
 def _(m):
     return explore.orders_by_year(m.orders)
 

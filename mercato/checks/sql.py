@@ -26,15 +26,15 @@ def big(expression: str) -> str:
 
 
 def trunc_days(later: str, earlier: str) -> str:
-    return f"extract(day FROM ({later} - {earlier}))"
+    return f"CAST(extract(day FROM ({later} - {earlier})) AS INTEGER)"
 
 
 def calendar_days(later: str, earlier: str) -> str:
-    return f"date_diff('day', CAST({earlier} AS DATE), CAST({later} AS DATE))"
+    return f"CAST(date_diff('day', CAST({earlier} AS DATE), CAST({later} AS DATE)) AS INTEGER)"
 
 
 def floor_days(later: str, earlier: str) -> str:
-    return f"CAST(floor(date_diff('microsecond', {earlier}, {later}) / CAST(86400000000 AS DOUBLE)) AS BIGINT)"
+    return f"CAST(floor(date_diff('microsecond', {earlier}, {later}) / CAST(86400000000 AS DOUBLE)) AS INTEGER)"
 
 
 _translation = ", ".join(f"('{k}', '{v}')" for k, v in CATEGORY_NAMES.items())
