@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import chat, crossentropy, packing, rules, tokens, urls
+from mercato.llm import chat, crossentropy, jaccard, packing, rules, tokens, urls
 from mercato.llm.tables import ship_package
 from mercato.session import configure
 
@@ -103,6 +103,28 @@ def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+_WORDS_SQL = r"""list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+
+_JACCARD_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS_SQL.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
+    sets AS (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) END)) AS s FROM w),
+    classes AS (SELECT s, min(doc_id) AS c, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+    items AS (SELECT c, n, unnest(s) AS x FROM classes),
+    often AS (SELECT x, count(*) AS f FROM items GROUP BY x HAVING count(*) > 1),
+    pairs AS (SELECT a.c AS a, b.c AS b, a.n + b.n AS n, count(*) AS i
+        FROM (SELECT * FROM items SEMI JOIN often USING (x)) a JOIN (SELECT * FROM items SEMI JOIN often USING (x)) b ON a.x = b.x AND a.c <> b.c GROUP BY ALL),
+    links AS (SELECT a, b FROM pairs WHERE 100 * i >= 75 * (n - i)),
+    reach AS (SELECT c AS node, c AS root FROM classes UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node),
+    roots AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+    SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(root, doc_id) AS component_id
+    FROM sets LEFT JOIN classes ON sets.s = classes.s LEFT JOIN roots ON node = c"""
+
+
+@query("op6_ngram_jaccard_join", _JACCARD_SQL)
+def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, folder, "documents"))
+
+
 @query("op8_quality_rules")
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = rules.judge_quality(table(spark, folder, "documents").select("doc_id", "text"))
