@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import chat, crossentropy, jaccard, packing, rules, tokens, urls
+from mercato.llm import chat, crossentropy, jaccard, packing, pii, rules, tokens, urls
 from mercato.llm.tables import ship_package
 from mercato.session import configure
 
@@ -132,6 +132,17 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"quality.{c}").alias(c) for c in names])
 
 
+@query("op9_personal_data")
+def personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+    count = lambda rank: F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("long")
+    base = F.filter("spans", lambda s: s["rank"] < len(pii.KINDS))
+    return found.select(
+        "doc_id", *[count(rank).alias(f"n_{kind}") for rank, kind in enumerate(pii.KINDS)],
+        F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op10_cross_entropy_difference")
 def cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
     good = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
