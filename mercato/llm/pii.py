@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.tables import stored, text_key
+from mercato.llm.tables import bind, stored, text_key
 
 # The four kinds in the order of ties.
 KINDS = ("email", "ip", "card", "phone")
@@ -61,7 +61,7 @@ def located(text: Column, pattern: str) -> Column:
         return F.aggregate(places, start, step)["found"]
 
     held = F.struct(F.split(text, pattern, -1).alias("between"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"))
-    return F.element_at(F.transform(F.array(held), walk), 1)
+    return bind(held, walk)
 
 
 def _digits(match: Column) -> Column:
@@ -197,4 +197,4 @@ def redact(text: Column, spans: Column) -> Column:
 
     done = F.aggregate(spans, start, step)
     rest = lambda d: F.concat(F.array_join(d["out"], ""), F.substring(text, d["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.element_at(F.transform(F.array(done), rest), 1)).otherwise(text)
+    return F.when(F.size(spans) > 0, bind(done, rest)).otherwise(text)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import chat, crossentropy, jaccard, packing, pii, rules, tokens, urls
-from mercato.llm.tables import ship_package
+from mercato.llm import chat, crossentropy, decontaminate, jaccard, packing, pii, rules, tokens, urls
+from mercato.llm.tables import ship_package, stored, text_key
 from mercato.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,6 +95,15 @@ def chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op4_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document and benchmark item that it holds."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    leaks = stored(decontaminate.find_leaks(documents, table(spark, folder, "benchmark")), "leaks")
+    keyed = documents.select("doc_id", text_key(F.col("text")).alias("text_key"))
+    return keyed.join(decontaminate.small(leaks), "text_key").select("doc_id", F.col("item").alias("item_id"), "similarity")
+
+
 @query("op5_token_counts")
 def token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.tables import SPACE_CHARS, words_of
+from mercato.llm.tables import SPACE_CHARS, bind, words_of
 
 #: Rows of the sample on which selectivities are measured; a bound, whatever the input.
 SAMPLE_ROWS = 2000
@@ -63,9 +63,7 @@ def repeated_words(words: Column) -> Column:
         )
         return F.size(F.array_distinct(F.flatten(F.transform(again, lambda w: F.array(w["p"], w["p"] + 1, w["p"] + 2)))))
 
-    # Binding the sorted windows as an element evaluates them once.
-    held = F.element_at(F.transform(F.array(ordered), covered), 1)
-    return F.when(last >= 1, held).otherwise(0).cast("long")
+    return F.when(last >= 1, bind(ordered, covered)).otherwise(0).cast("long")
 
 
 def text_statistics(text: Column) -> Column:
@@ -81,12 +79,12 @@ def text_statistics(text: Column) -> Column:
             F.size(words).cast("long").alias("n_words"),
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
             F.regexp_count(bound["text"], F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-            F.element_at(F.transform(F.array(lines), count_lines), 1).alias("lines"),
+            bind(lines, count_lines).alias("lines"),
             repeated_words(words).alias("n_repeat_words"),
         )
 
     held = F.struct(F.coalesce(text, F.lit("")).alias("text"), words_of(text).alias("words"))
-    return F.element_at(F.transform(F.array(held), of), 1)
+    return bind(held, of)
 
 
 def base_failed(s: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,11 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often and however deep ``use`` mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def words_of(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` in order; null or blank text has none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACE_CHARS))
