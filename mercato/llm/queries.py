@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import chat, crossentropy, decontaminate, jaccard, packing, pii, rules, tokens, urls
+from mercato.llm import chat, crossentropy, decontaminate, jaccard, packing, passages, pii, rules, tokens, urls
 from mercato.llm.tables import ship_package, stored, text_key
 from mercato.session import configure
 
@@ -134,6 +134,12 @@ def ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link_documents(table(spark, folder, "documents"))
 
 
+@query("op7_substring_dedup")
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of at least 50 words that repeat across documents."""
+    return passages.find_passages(table(spark, folder, "documents"))
+
+
 @query("op8_quality_rules")
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = rules.judge_quality(table(spark, folder, "documents").select("doc_id", "text"))
