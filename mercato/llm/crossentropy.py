@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from mercato.llm.vectors import Texts, pieces, signed
 
 #: Words of the vocabulary; with it a model has (VOCABULARY + 2)^2 cells, whatever the corpus.
-VOCABULARY = 2000
+VOCABULARY = 1000
 INTERPOLATION = 0.7
 SMOOTHING = 0.5
 

@@ -198,3 +198,14 @@ def redact(text: Column, spans: Column) -> Column:
     done = F.aggregate(spans, start, step)
     rest = lambda d: F.concat(F.array_join(d["out"], ""), F.substring(text, d["at"] + 1, F.length(text)))
     return F.when(F.size(spans) > 0, bind(done, rest)).otherwise(text)
+
+
+def hide_personal_data(documents: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
+    """The rows with all their columns, personal data in the text replaced by its kind.
+
+    ``length`` names a column that holds the text's code points; it follows the text.
+    """
+    held = documents.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("t"))
+    hidden = find_personal_data(held, "t").select("row", redact(F.col("t"), F.col("spans")).alias("t"))
+    columns = [F.col("t").alias(c) if c == text else F.length("t").cast("long").alias(c) if c == length else F.col("row")[c].alias(c) for c in documents.columns]
+    return hidden.select(*columns)

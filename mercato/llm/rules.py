@@ -102,9 +102,15 @@ def _rejects(rule: Rule, text: str, stats: str) -> Column:
     return F.coalesce(_on(rule.rejects, text, stats), F.lit(False))
 
 
-def cascade_order(sample: DataFrame, rules: Sequence[Rule] = RULES) -> list[Rule]:
-    """Rules by rejections per cost among the rows still left, measured on a sample with columns t and s; ties by name."""
-    rows = sample.select(*[_rejects(r, "t", "s").alias(f"r{i}") for i, r in enumerate(rules)], *[_on(r.work, "t", "s").cast("double").alias(f"w{i}") for i, r in enumerate(rules)]).collect()
+def cascade_order(judged: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """Rules by rejections per cost among the rows still left, ties by name.
+
+    Measured on the first ``sample_rows`` rows of a frame with columns t and s; only
+    as many partitions run as those need, and only figures reach the driver.
+    """
+    flags = [_rejects(r, "coalesce(t, '')", "s").alias(f"r{i}") for i, r in enumerate(rules)]
+    works = [_on(r.work, "coalesce(t, '')", "s").cast("double").alias(f"w{i}") for i, r in enumerate(rules)]
+    rows = [r for r in judged.select(base_failed(F.col("s")).alias("base"), *flags, *works).limit(sample_rows).collect() if not r["base"]]
     order, left = [], list(rows)
     waiting = set(range(len(rules)))
     while waiting:
@@ -130,8 +136,7 @@ def judge_quality(documents: DataFrame, text: str = "text", rules: Sequence[Rule
     """
     source = F.col(f"`{text}`")
     raw = f"coalesce(`{text}`, '')"
-    sample = documents.select(source.alias("t")).limit(sample_rows).select("t", text_statistics(F.col("t")).alias("s"))
-    order = cascade_order(sample.filter(~base_failed(F.col("s"))), rules)
+    order = cascade_order(documents.select(source.alias("t")).select("t", text_statistics(F.col("t")).alias("s")), rules, sample_rows)
     stats = documents.withColumn("quality", text_statistics(source))
     verdict = F.when(base_failed(F.col("quality")), "base")
     for rule in order:
@@ -146,3 +151,9 @@ def judge_quality(documents: DataFrame, text: str = "text", rules: Sequence[Rule
             base_failed(q).alias("base_failed"), verdict.alias("rejected_by"), verdict.isNull().alias("kept"),
         ),
     )
+
+
+def keep_good(documents: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows, with all their columns, that the rules keep; see `judge_quality`."""
+    held = documents.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("t"))
+    return judge_quality(held, "t", rules).filter("quality.kept").select("row.*")
