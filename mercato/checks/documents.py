@@ -6,16 +6,12 @@ arrays differently; the jobs themselves return nested documents.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import functions as F
 
-from mercato.checks.market import AS_OF
 from mercato.checks.registry import check
 from mercato.checks.sql import avg, big, dbl, half_up
 from mercato.functions.text import WORD_BREAK, word_forms
 from mercato.plans import documents
-from mercato.plans.generator import CATEGORIES, PRIME, generate_catalog
 
 PRODUCT_QUERY = "red widgets bolt"
 REVIEW_QUERY = "worthless src5"
@@ -123,7 +119,7 @@ def _(m):
     ORDER BY o.stock NULLS FIRST, o.product_id, o.seller_id LIMIT 10""",
 )
 def _(m):
-    return documents.low_stock_offers(m.catalog)
+    return documents.low_stock_offers(m.catalog, m.offers)
 
 
 @check(
@@ -218,9 +214,25 @@ def _(m):
     return documents.document_size_report(m.table("documents"))
 
 
-@check("catalog_document_size")
+# Sizes of fields that both engines print alike: a product with its category and units, and each of its offers.
+SIZED = """SELECT _id, strlen(CAST(to_json(d) AS VARCHAR)) AS bytes FROM (SELECT _id, name, coalesce(name_pt, '') AS name_pt, coalesce(name_en, '') AS name_en, total_units_sold,
+    total_reviews, seller_count, stock_status FROM s_catalog) d"""
+SIZED_OFFERS = """SELECT product_id AS _id, strlen(CAST(to_json(o) AS VARCHAR)) AS bytes
+    FROM (SELECT product_id, seller_id, seller_name, stock FROM s_offers) o"""
+
+
+@check(
+    "catalog_document_size",
+    "s_catalog s_offers",
+    f"""SELECT *, CASE WHEN avg_kb < 50 THEN 'optimal' WHEN avg_kb < 100 THEN 'acceptable' ELSE 'too large' END AS verdict
+    FROM (SELECT documents, total_bytes, {half_up("CAST(total_bytes AS DOUBLE) / documents / 1024", 2)} AS avg_kb
+        FROM (SELECT (SELECT count(*) FROM s_catalog) AS documents,
+            CAST((SELECT sum(bytes) FROM ({SIZED})) + (SELECT coalesce(sum(bytes), 0) FROM ({SIZED_OFFERS})) AS BIGINT) AS total_bytes))""",
+)
 def _(m):
-    return documents.document_size_report(m.catalog)
+    names = [F.coalesce(f"category.{c}", F.lit("")).alias(c) for c in ("name_pt", "name_en")]  # the engines write NULL fields differently
+    flat = m.catalog.select("_id", "name", *names, "computed_metrics.total_units_sold", "reviews_summary.total_reviews", "seller_count", "stock_status")
+    return documents.document_size_report(flat, [m.offers.select("product_id", "seller_id", "seller_name", "stock")])
 
 
 @check(
@@ -246,8 +258,9 @@ def _(m):
     FROM s_catalog c LEFT JOIN s_offers o ON c._id = o.product_id""",
 )
 def _(m):
-    offers = m.catalog.select("*", F.explode_outer("sellers").alias("offer"))
-    return offers.select(
+    catalog = documents.build_product_documents(m.products, m.translation, m.items, m.orders, m.reviews)
+    offers = m.offers.select(F.col("product_id").alias("_id"), F.struct("*").alias("offer"))
+    return catalog.join(offers, "_id", "left").select(
         "_id",
         "name",
         "category.name_pt",
@@ -260,9 +273,9 @@ def _(m):
         "stock_status",
         "offer.seller_id",
         "offer.seller_name",
-        F.col("offer.price").alias("offer_price"),
+        F.col("offer.price").cast("double").alias("offer_price"),
         "offer.stock",
-        "offer.shipping_cost",
+        F.col("offer.shipping_cost").cast("double").alias("shipping_cost"),
     )
 
 
@@ -278,105 +291,3 @@ def _(m):
     bought = m.items.select("order_id", "product_id").distinct()
     product_reviews = m.reviews.select("order_id", "review_id", "review_score").join(bought, "order_id").drop("order_id")
     return documents.catalog_with_reviews(m.catalog, product_reviews)
-
-
-class _SqlDraws:
-    """SQL text of the generator's draws, in the generator's order."""
-
-    def __init__(self):
-        self.salt = 0
-
-    def number(self, low: int, high: int) -> str:
-        self.salt += 1
-        x = f"((p_partkey % {PRIME} + {self.salt * 7919 + 12345}) % {PRIME})"
-        drawn = f"(({x} * {x} % {PRIME} * 7919 + {x} * 104729 + {self.salt}) % {PRIME})"
-        return f"CAST({low} + {drawn} % {high - low + 1} AS INTEGER)"
-
-    def choice(self, options: list) -> str:
-        listed = ", ".join(("'" + o + "'") if isinstance(o, str) else json.dumps(o) for o in options)
-        return f"[{listed}][{self.number(1, len(options))}]"
-
-    def money(self, low: int, high: int) -> str:
-        return f"CAST(CAST({self.number(low * 100, high * 100)} / 100 AS DECIMAL(12,2)) AS DOUBLE)"
-
-    def days_ago(self, low: int, high: int) -> str:
-        return f"CAST(CAST(DATE '{AS_OF}' - {self.number(low, high)} AS DATE) AS TIMESTAMP)"
-
-    def value(self, spec) -> str:
-        if isinstance(spec, list):
-            return self.choice(spec)
-        kind, *rest = spec
-        if kind == "some of":
-            options = ", ".join(f"'{o}'" for o in rest[0] * 2)
-            start, size = self.number(1, len(rest[0])), self.number(*rest[1:])
-            return f"list_slice([{options}], {start}, {start} + {size} - 1)"
-        if kind == "number":
-            return self.number(*rest)
-        if kind == "numbered":
-            return f"'{rest[0]}' || {self.number(*rest[1:])}"
-        if kind == "hundredths":
-            return f"CAST({self.number(*rest)} / 100 AS DECIMAL(8,2))"
-        return f"{self.number(*rest)} || 'x' || {self.number(*rest)} || 'cm'"
-
-
-def _generated() -> str:
-    draws = _SqlDraws()
-    category, word, number = draws.choice(list(CATEGORIES)), draws.number(1, 10**6), draws.number(100, 999)
-    words, titles, details = [], [], []
-    for name, config in CATEGORIES.items():
-        listed = ", ".join(f"'{p}'" for p in config["products"])
-        words.append(f"WHEN '{name}' THEN [{listed}][word % {len(config['products'])} + 1]")
-        titles.append(f"WHEN '{name}' THEN '{config['name_pt']}'")
-        first = None
-        for key, spec in config["specifications"].items():
-            value = draws.value(spec)
-            if first is None:
-                first = (key, value)
-        details.append(f"WHEN '{name}' THEN CAST({first[1]} AS VARCHAR)")
-    offers = [(draws.number(100, 999), draws.number(1, 50), draws.money(10, 1000), draws.number(0, 200), draws.money(0, 30)) for _ in range(3)]
-    price = draws.money(10, 1000)
-    units, rating, revenue, last = draws.number(0, 5000), draws.number(30, 50), draws.money(100, 100_000), draws.days_ago(0, 365)
-    reviews, latest = draws.number(0, 1000), draws.number(1000, 9999)
-    sellers = draws.number(1, 3)
-    stock = draws.choice(["in_stock", "in_stock", "in_stock", "out_of_stock"])
-    created = draws.days_ago(30, 730)
-    return f"""SELECT 'PROD-' || CASE WHEN p_partkey < 10000 THEN lpad(CAST(p_partkey AS VARCHAR), 4, '0')
-            ELSE CAST(p_partkey AS VARCHAR) END AS _id,
-        concat_ws(' ', CASE category {" ".join(words)} END, CASE category {" ".join(titles)} END, CAST(number AS VARCHAR)) AS name,
-        CASE category {" ".join(titles)} END AS name_pt, category AS name_en, {price} AS price,
-        {units} AS total_units_sold, {dbl(f"{rating} / 10")} AS average_rating, {revenue} AS total_revenue,
-        {last} AS last_sale_date, CASE category {" ".join(details)} END AS first_specification,
-        {reviews} AS total_reviews, 'REV-' || {latest} AS latest_review_id, {sellers} AS sellers,
-        'SELL-' || {offers[0][0]} AS seller_id, {offers[0][2]} AS offer_price, {offers[0][3]} AS stock,
-        {offers[0][4]} AS shipping_cost, {stock} AS stock_status, {created} AS created_at,
-        CAST(DATE '{AS_OF}' AS TIMESTAMP) AS updated_at
-    FROM (SELECT p_partkey, {category} AS category, {word} AS word, {number} AS number FROM part)"""
-
-
-@check("generate_catalog", "", _generated())
-def _(m):
-    made = generate_catalog(m.table("part"), "p_partkey", as_of=AS_OF)
-    firsts = [f"$.{next(iter(c['specifications']))}" for c in CATEGORIES.values()]
-    picked = F.coalesce(
-        *[
-            F.when(F.col("category.name_en") == name, F.try_variant_get("specifications", path, "string"))
-            for name, path in zip(CATEGORIES, firsts)
-        ]
-    )
-    return made.select(
-        "_id",
-        "name",
-        "category.*",
-        "price",
-        "computed_metrics.*",
-        picked.alias("first_specification"),
-        "reviews_summary.*",
-        F.size("sellers").alias("sellers"),
-        F.col("sellers")[0]["seller_id"].alias("seller_id"),
-        F.col("sellers")[0]["price"].alias("offer_price"),
-        F.col("sellers")[0]["stock"].alias("stock"),
-        F.col("sellers")[0]["shipping_cost"].alias("shipping_cost"),
-        "stock_status",
-        "created_at",
-        "updated_at",
-    )

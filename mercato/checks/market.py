@@ -13,10 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.operators.profile import literal_rows
-from mercato.plans.documents import build_product_documents
+from mercato.plans.documents import build_product_documents, product_offers
+from mercato.session import new_table_path
 from mercato.sources.io import read_table
 
 AS_OF = "2001-08-02"
+
+# Where the catalog of an application and folder has been written.
+_CATALOGS: dict[tuple[str, str], str] = {}
 YEAR_START, YEAR_END = "1997-01-01", "1998-01-01"
 
 # Category translation; STANDARD has none on purpose.
@@ -237,11 +241,20 @@ class Market:
             (F.col("n_chars") % 50).cast("int").alias("helpful_votes"),
         )
 
+    @cached_property
+    def offers(self) -> DataFrame:
+        return product_offers(self.items, self.sellers, self.stock)
+
     @cached_property
     def catalog(self) -> DataFrame:
-        return build_product_documents(
-            self.products, self.translation, self.items, self.orders, self.reviews, self.sellers, self.stock
-        )
+        """The product documents, written once per application and folder and read by every catalog query."""
+        built = build_product_documents(self.products, self.translation, self.items, self.orders, self.reviews)
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _CATALOGS:
+            path = new_table_path(self.spark, "catalog")
+            built.write.parquet(path)
+            _CATALOGS[key] = path
+        return self.spark.read.schema(built.schema).parquet(_CATALOGS[key])
 
     @cached_property
     def runs(self) -> DataFrame:

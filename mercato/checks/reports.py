@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from mercato.checks.registry import check
 from mercato.checks.sql import big, dbl, half_up, pct
 from mercato.plans import reports
@@ -27,13 +25,11 @@ def _(m):
 
 
 SUMMARY = f"""SELECT query_name AS optimization_category, technique AS technique_applied, runs AS queries_affected,
-    improvement_percentage AS avg_improvement_pct,
-    CAST(round(CAST((coalesce(CAST(time_before AS DECIMAL(30,3)), 0) + coalesce(CAST(time_after AS DECIMAL(30,3)), 0)) / 100 AS DECIMAL(30,10)), 2)
-        AS DECIMAL(20,2)) AS disk_space_used_mb
+    improvement_percentage AS avg_improvement_pct
     FROM ({_gains("query_name, technique")})"""
 
 
-@check("optimization_summary", "s_runs", f"SELECT * REPLACE ({dbl('disk_space_used_mb')} AS disk_space_used_mb) FROM ({SUMMARY})")
+@check("optimization_summary", "s_runs", SUMMARY)
 def _(m):
     return reports.optimization_summary(m.runs)
 
@@ -42,8 +38,8 @@ def _(m):
     "optimization_rollup",
     "s_runs",
     f"""SELECT optimization_category, count(*) AS techniques_count, {big("sum(queries_affected)")} AS total_queries_optimized,
-        {half_up("CAST(sum(CAST(avg_improvement_pct AS DECIMAL(20,2))) AS DOUBLE) / count(avg_improvement_pct)", 2)} AS avg_improvement,
-        {dbl("sum(disk_space_used_mb)")} AS total_space_mb FROM ({SUMMARY}) GROUP BY 1""",
+        {half_up("CAST(sum(CAST(avg_improvement_pct AS DECIMAL(20,2))) AS DOUBLE) / count(avg_improvement_pct)", 2)} AS avg_improvement
+    FROM ({SUMMARY}) GROUP BY 1""",
 )
 def _(m):
     return reports.optimization_rollup(reports.optimization_summary(m.runs))
@@ -53,8 +49,7 @@ def _(m):
     "optimization_detail",
     "s_runs",
     f"""SELECT optimization_category, technique_applied, queries_affected,
-        CAST(CAST(avg_improvement_pct AS DECIMAL(12,2)) AS VARCHAR) || '%' AS improvement,
-        CAST(CAST(disk_space_used_mb AS DECIMAL(12,2)) AS VARCHAR) || ' MB' AS space_cost FROM ({SUMMARY})""",
+        CAST(CAST(avg_improvement_pct AS DECIMAL(12,2)) AS VARCHAR) || '%' AS improvement FROM ({SUMMARY})""",
 )
 def _(m):
     return reports.optimization_detail(reports.optimization_summary(m.runs))
@@ -69,18 +64,3 @@ def _(m):
 )
 def _(m):
     return reports.timing_stats(m.runs, ["query_name", "phase"])
-
-
-@check(
-    "timing_stats_from_plans",
-    "",
-    f"""SELECT event_type AS query_name, count(*) AS runs, {half_up("CAST(sum(ms) AS DOUBLE) / count(ms)", 3)} AS avg_time,
-        {dbl("min(ms)")} AS min_time, {dbl("max(ms)")} AS max_time, {half_up("stddev_samp(CAST(ms AS DOUBLE))", 3)} AS stddev_time
-    FROM (SELECT event_type, CAST(value AS DECIMAL(12,3)) AS ms FROM events) GROUP BY 1""",
-)
-def _(m):
-    # Each event as the plan document of one run.
-    time = F.col("value").cast("decimal(12,3)").cast("string")
-    plan = F.concat(F.lit('[{"Planning Time": 0.5, "Execution Time": '), time, F.lit("}]"))
-    plans = m.table("events").select(F.col("event_type").alias("query_name"), plan.alias("plan"))
-    return reports.timing_stats(reports.plan_times(plans, "plan"), ["query_name"])

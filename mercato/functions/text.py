@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -85,6 +86,14 @@ def match_count(text: Column, query: str) -> Column:
     return F.size(F.filter(words, lambda w: w.isin(forms)))
 
 
+def mentions(fields: Mapping[str, float], query: str) -> Column:
+    """Whether a field has a query word: one pattern, so only texts that match are split into words."""
+    forms = "|".join(word_forms(query))
+    pattern = f"(?<![a-z0-9])(?:{forms})(?![a-z0-9])" if forms else "(?!)"
+    found = [folded(F.coalesce(F.col(name), F.lit(""))).rlike(pattern) for name in fields]
+    return reduce(lambda a, b: a | b, found, F.lit(False))
+
+
 def text_score(fields: Mapping[str, float], query: str) -> Column:
     """Sum over the fields of weight times matching words; zero means no match."""
     score = F.lit(0.0)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,17 +11,9 @@ from pyspark.sql import functions as F
 from mercato.functions.jsonq import parsed
 from mercato.functions.numeric import mean, round_half_up
 from mercato.functions.ordering import largest_first, top_k
-from mercato.functions.text import text_score
+from mercato.functions.text import mentions, text_score
 from mercato.operators.profile import with_share
 
-SELLERS_PER_PAGE = 1000
-
-
-def heads(catalog: DataFrame) -> DataFrame:
-    """One row per product: continuation pages of long seller lists left out."""
-    return catalog.where(F.col("page") == 0) if "page" in catalog.columns else catalog
-
-
 # -- building documents -----------------------------------------------------
 
 
@@ -47,6 +40,10 @@ def _product_ratings(items: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
+def _seller_counts(items: DataFrame) -> DataFrame:
+    return items.select("product_id", "seller_id").distinct().groupBy("product_id").agg(F.count("*").alias("seller_count"))
+
+
 def product_offers(items: DataFrame, sellers: DataFrame, stock: DataFrame) -> DataFrame:
     """One row per product and seller: best price, cheapest shipping, units on hand."""
     offers = items.groupBy("product_id", "seller_id").agg(
@@ -57,56 +54,23 @@ def product_offers(items: DataFrame, sellers: DataFrame, stock: DataFrame) -> Da
     )
 
 
-def _seller_pages(offers: DataFrame, sizes: DataFrame, page_size: int) -> DataFrame:
-    """Offers gathered into arrays of about ``page_size``; a long list spans several pages."""
-    pages = F.ceil(F.col("seller_count") / page_size)
-    offer = F.struct(
-        "seller_id",
-        "seller_name",
-        F.col("price").cast("double").alias("price"),
-        "stock",
-        F.col("shipping_cost").cast("double").alias("shipping_cost"),
-    )
-    return (
-        offers.join(sizes, "product_id")
-        .withColumn("page", F.pmod(F.xxhash64("seller_id"), pages).cast("int"))
-        .groupBy("product_id", "page")
-        .agg(F.sort_array(F.collect_list(offer)).alias("sellers"))
-    )
-
-
 def build_product_documents(
-    products: DataFrame,
-    translation: DataFrame,
-    items: DataFrame,
-    orders: DataFrame,
-    reviews: DataFrame,
-    sellers: DataFrame,
-    stock: DataFrame,
-    page_size: int = SELLERS_PER_PAGE,
+    products: DataFrame, translation: DataFrame, items: DataFrame, orders: DataFrame, reviews: DataFrame
 ) -> DataFrame:
     """Fold the relational tables into one nested document per product.
 
-    Metrics are precomputed, reviews are referenced, sellers are embedded.  A
-    product with more than ``page_size`` sellers continues on pages 1, 2, ...
-    of the same ``_id``; page 0 is the document proper.
+    Metrics are precomputed; reviews and offers are referenced.  An offer list grows
+    without bound, so offers are a table of their own (:func:`product_offers`) keyed
+    by ``_id``, and the document carries how many there are: one shape at any size.
     """
-    offers = product_offers(items, sellers, stock)
-    sizes = offers.groupBy("product_id").agg(F.count("*").alias("seller_count"))
-    pages = _seller_pages(offers, sizes, page_size)
-    last_page = F.greatest(F.ceil(F.coalesce("seller_count", F.lit(0)) / page_size) - 1, F.lit(0)).cast("int")
     base = (
         products.join(translation, "product_category_name", "left")
         .join(_product_sales(items, orders), "product_id", "left")
         .join(_product_ratings(items, reviews), "product_id", "left")
-        .join(sizes, "product_id", "left")
-        .withColumn("page", F.explode(F.sequence(F.lit(0), last_page)))
-        .join(pages, ["product_id", "page"], "left")
+        .join(_seller_counts(items), "product_id", "left")
     )
-    no_sellers = F.array().cast(pages.schema["sellers"].dataType)
     return base.select(
         F.col("product_id").alias("_id"),
-        "page",
         F.col("product_name").alias("name"),
         F.struct(
             F.col("product_category_name").alias("name_pt"), F.col("product_category_name_english").alias("name_en")
@@ -122,7 +86,6 @@ def build_product_documents(
         F.struct(
             F.coalesce("reviews", F.lit(0)).alias("total_reviews"), F.col("latest.review_id").alias("latest_review_id")
         ).alias("reviews_summary"),
-        F.coalesce("sellers", no_sellers).alias("sellers"),
         F.coalesce("seller_count", F.lit(0)).alias("seller_count"),
         "stock_status",
     )
@@ -137,7 +100,7 @@ def catalog_with_reviews(catalog: DataFrame, product_reviews: DataFrame) -> Data
     join cannot be split.
     """
     reviews = product_reviews.withColumnRenamed("product_id", "_id")
-    products = heads(catalog).select("_id", "name", F.col("category.name_en").alias("category"))
+    products = catalog.select("_id", "name", F.col("category.name_en").alias("category"))
     reviewed = products.join(reviews, "_id")
     bare = products.join(reviews.select("_id").distinct(), "_id", "left_anti")
     return reviewed.unionByName(bare, allowMissingColumns=True)
@@ -151,31 +114,32 @@ UNITS = "computed_metrics.total_units_sold"
 
 def catalog_by_category(catalog: DataFrame, category: str, n: int = 5) -> DataFrame:
     """Best rated products of a category."""
-    found = heads(catalog).where(F.col("category.name_en") == category)
+    found = catalog.where(F.col("category.name_en") == category)
     found = found.select("_id", "name", "price", F.col(RATING).alias("average_rating"))
     return top_k(found, n, [largest_first("average_rating")], ["_id"])
 
 
 def text_search(docs: DataFrame, fields: Mapping[str, float], query: str, n: int, columns: list) -> DataFrame:
     """Documents with at least one query word, best weighted match first."""
-    scored = docs.withColumn("score", text_score(fields, query)).where(F.col("score") > 0)
+    mentioned = docs.where(mentions(fields, query))
+    scored = mentioned.withColumn("score", text_score(fields, query))
     return top_k(scored.select("_id", *columns, "score"), n, [F.col("score").desc()], ["_id"])
 
 
 def catalog_text_search(catalog: DataFrame, fields: Mapping[str, float], query: str, n: int = 5) -> DataFrame:
     """Products whose text fields match the query."""
-    return text_search(heads(catalog), fields, query, n, ["name", "price"])
+    return text_search(catalog, fields, query, n, ["name", "price"])
 
 
 def catalog_cheap_in_stock(catalog: DataFrame, max_price: float, n: int = 5) -> DataFrame:
     """Products below a price that can be bought now."""
-    found = heads(catalog).where((F.col("price") < max_price) & (F.col("stock_status") == "in_stock"))
+    found = catalog.where((F.col("price") < max_price) & (F.col("stock_status") == "in_stock"))
     return top_k(found.select("_id", "name", "price"), n, [], ["_id"])
 
 
 def catalog_price_band(catalog: DataFrame, category: str, lo: float, hi: float, n: int = 5) -> DataFrame:
     """Best rated products of a category in a closed price range, in stock."""
-    found = heads(catalog).where(
+    found = catalog.where(
         (F.col("category.name_en") == category) & F.col("price").between(lo, hi) & (F.col("stock_status") == "in_stock")
     )
     found = found.select("_id", "name", "price", F.col(RATING).alias("average_rating"))
@@ -184,7 +148,7 @@ def catalog_price_band(catalog: DataFrame, category: str, lo: float, hi: float,
 
 def catalog_top_selling(catalog: DataFrame, n: int = 5) -> DataFrame:
     """Products with the most units sold, without their id."""
-    found = heads(catalog).where(F.col(UNITS) > 0)
+    found = catalog.where(F.col(UNITS) > 0)
     flat = found.select(
         "_id", "name", F.col(UNITS).alias("sales_count"), F.col(RATING).alias("avg_rating"), "price"
     )
@@ -193,7 +157,7 @@ def catalog_top_selling(catalog: DataFrame, n: int = 5) -> DataFrame:
 
 def catalog_top_selling_in_stock(catalog: DataFrame, n: int = 5) -> DataFrame:
     """Products in stock with the most units sold."""
-    found = heads(catalog).where(F.col("stock_status") == "in_stock")
+    found = catalog.where(F.col("stock_status") == "in_stock")
     flat = found.select(
         "_id", "name", F.col("category.name_en").alias("category"), F.col(UNITS).alias("total_units_sold")
     )
@@ -202,7 +166,7 @@ def catalog_top_selling_in_stock(catalog: DataFrame, n: int = 5) -> DataFrame:
 
 def catalog_category_overview(catalog: DataFrame) -> DataFrame:
     """Products, average price and revenue per category."""
-    groups = heads(catalog).groupBy(F.col("category.name_en").alias("category")).agg(
+    groups = catalog.groupBy(F.col("category.name_en").alias("category")).agg(
         F.count("*").alias("count"),
         mean(F.col("price").cast("decimal(18,4)")).alias("avg_price"),
         F.coalesce(F.sum(F.col("computed_metrics.total_revenue").cast("decimal(24,4)")), F.lit(0)).alias("total_revenue"),
@@ -213,7 +177,7 @@ def catalog_category_overview(catalog: DataFrame) -> DataFrame:
 def catalog_category_stats(catalog: DataFrame) -> DataFrame:
     """Price range, rating and units per category."""
     price, rating = F.col("price").cast("decimal(18,4)"), F.col(RATING).cast("decimal(18,4)")
-    groups = heads(catalog).groupBy(F.col("category.name_en").alias("category")).agg(
+    groups = catalog.groupBy(F.col("category.name_en").alias("category")).agg(
         F.count("*").alias("total_products"),
         mean(price, 2).alias("avg_price"),
         F.round(F.min(price), 2).alias("min_price"),
@@ -224,28 +188,19 @@ def catalog_category_stats(catalog: DataFrame) -> DataFrame:
     return groups.orderBy(largest_first("total_products"), F.col("category").asc_nulls_first())
 
 
-def low_stock_offers(catalog: DataFrame, max_stock: int = 10, n: int = 10) -> DataFrame:
-    """Offers about to run out, over every page of every seller list."""
-    offers = (
-        catalog.where(F.col("stock_status") == "in_stock")
-        .select("_id", "name", F.col("category.name_en").alias("category"), F.explode("sellers").alias("offer"))
-        .where((F.col("offer.stock") < max_stock) & (F.col("offer.stock") > 0))
-        .select(
-            "_id",
-            "name",
-            "category",
-            F.col("offer.seller_id").alias("seller_id"),
-            F.col("offer.seller_name").alias("seller_name"),
-            F.col("offer.stock").alias("stock"),
-        )
+def low_stock_offers(catalog: DataFrame, offers: DataFrame, max_stock: int = 10, n: int = 10) -> DataFrame:
+    """Offers about to run out, of products in stock."""
+    scarce = offers.where((F.col("stock") < max_stock) & (F.col("stock") > 0)).select(
+        F.col("product_id").alias("_id"), "seller_id", "seller_name", "stock"
     )
-    return top_k(offers, n, [F.col("stock").asc_nulls_first()], ["_id", "seller_id"])
+    products = catalog.where(F.col("stock_status") == "in_stock").select("_id", "name", F.col("category.name_en").alias("category"))
+    found = scarce.join(products, "_id").select("_id", "name", "category", "seller_id", "seller_name", "stock")
+    return top_k(found, n, [F.col("stock").asc_nulls_first()], ["_id", "seller_id"])
 
 
 def flatten_catalog(catalog: DataFrame, n: int | None = 100) -> DataFrame:
     """Eight flat columns per product, ready for CSV; ``n=None`` keeps all."""
-    sellers = F.col("seller_count") if "seller_count" in catalog.columns else F.size("sellers")
-    flat = heads(catalog).select(
+    flat = catalog.select(
         F.col("_id").alias("product_id"),
         "name",
         F.col("category.name_en").alias("category"),
@@ -253,21 +208,21 @@ def flatten_catalog(catalog: DataFrame, n: int | None = 100) -> DataFrame:
         F.col(RATING).alias("rating"),
         F.col(UNITS).alias("units_sold"),
         "stock_status",
-        sellers.alias("total_sellers"),
+        F.col("seller_count").alias("total_sellers"),
     )
     return flat if n is None else top_k(flat, n, [], ["product_id"])
 
 
 def catalog_summary(catalog: DataFrame) -> DataFrame:
     """Number of documents and of distinct categories."""
-    return heads(catalog).agg(
+    return catalog.agg(
         F.count("*").alias("total_documents"), F.count_distinct("category.name_en").alias("distinct_categories")
     )
 
 
 def catalog_categories(catalog: DataFrame) -> DataFrame:
     """The distinct category names."""
-    return heads(catalog).select(F.col("category.name_en").alias("category")).where(F.col("category").isNotNull()).distinct()
+    return catalog.select(F.col("category.name_en").alias("category")).where(F.col("category").isNotNull()).distinct()
 
 
 def category_shares(df: DataFrame, key: str) -> DataFrame:
@@ -282,11 +237,19 @@ def category_concentration(df: DataFrame, key: str, threshold: float = 35) -> Da
     return summary.withColumn("hotspot", F.col("max_share_pct") > threshold)
 
 
-def document_size_report(df: DataFrame) -> DataFrame:
-    """Size of the documents as JSON, with a verdict on the average."""
-    size = F.octet_length(F.to_json(F.struct(*df.columns)))
-    report = df.agg(F.count("*").alias("documents"), F.sum(size).alias("total_bytes"))
-    average = round_half_up(F.col("total_bytes").cast("double") / F.col("documents") / 1024, 2)
+def document_size_report(df: DataFrame, parts: Sequence[DataFrame] = ()) -> DataFrame:
+    """Size of the documents as JSON, with a verdict on the average.
+
+    ``parts`` are tables that belong to the documents, such as their offers: their
+    rows count into the size, not as documents.
+    """
+
+    def sized(rows: DataFrame, documents: int) -> DataFrame:
+        return rows.select(F.lit(documents).alias("d"), F.octet_length(F.to_json(F.struct(*rows.columns))).alias("b"))
+
+    sizes = reduce(DataFrame.unionAll, [sized(p, 0) for p in parts], sized(df, 1))
+    report = sizes.agg(F.coalesce(F.sum("d"), F.lit(0)).alias("documents"), F.sum("b").alias("total_bytes"))
+    average = round_half_up(F.col("total_bytes").cast("double") / F.nullif(F.col("documents"), F.lit(0)) / 1024, 2)
     verdict = F.when(F.col("avg_kb") < 50, "optimal").when(F.col("avg_kb") < 100, "acceptable").otherwise("too large")
     return report.withColumn("avg_kb", average).withColumn("verdict", verdict)
 

@@ -9,6 +9,9 @@ from mercato.functions.numeric import percent, round_half_up
 from mercato.functions.ordering import largest_first
 
 
+SPACE = "disk_space_used_mb"
+
+
 def before_after(runs: DataFrame, keys: list[str]) -> DataFrame:
     """Average time before and after a change and the improvement in percent."""
     time = F.col("execution_ms")
@@ -25,27 +28,28 @@ def before_after(runs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def optimization_summary(runs: DataFrame) -> DataFrame:
-    """One row per category and technique with its effect, from measured runs."""
+    """One row per category and technique with its effect, from measured runs.
+
+    Space is not part of a timed run; a sheet that has it carries ``disk_space_used_mb``.
+    """
     gains = before_after(runs, ["query_name", "technique"])
     return gains.select(
         F.col("query_name").alias("optimization_category"),
         F.col("technique").alias("technique_applied"),
         F.col("runs").alias("queries_affected"),
         F.col("improvement_percentage").alias("avg_improvement_pct"),
-        round_half_up((F.coalesce("time_before", F.lit(0)) + F.coalesce("time_after", F.lit(0))) / 100, 2).alias(
-            "disk_space_used_mb"
-        ),
     )
 
 
 def optimization_rollup(summary: DataFrame) -> DataFrame:
-    """Techniques, queries, average improvement and space per category."""
+    """Techniques, queries, average improvement and, where the sheet has it, space per category."""
     gain = F.col("avg_improvement_pct")
+    space = [F.round(F.sum(SPACE), 2).alias("total_space_mb")] if SPACE in summary.columns else []
     rollup = summary.groupBy("optimization_category").agg(
         F.count("*").alias("techniques_count"),
         F.sum("queries_affected").alias("total_queries_optimized"),
         round_half_up(F.sum(gain).cast("double") / F.count(gain), 2).alias("avg_improvement"),
-        F.round(F.sum("disk_space_used_mb"), 2).alias("total_space_mb"),
+        *space,
     )
     return rollup.orderBy(largest_first("avg_improvement"), "optimization_category")
 
@@ -55,12 +59,13 @@ def optimization_detail(summary: DataFrame) -> DataFrame:
     ordered = summary.orderBy(
         F.col("avg_improvement_pct").desc_nulls_first(), "optimization_category", "technique_applied"
     )
+    space = F.concat(F.col(SPACE).cast("decimal(12,2)").cast("string"), F.lit(" MB")).alias("space_cost") if SPACE in summary.columns else None
     return ordered.select(
         "optimization_category",
         "technique_applied",
         "queries_affected",
         F.concat(F.col("avg_improvement_pct").cast("decimal(12,2)").cast("string"), F.lit("%")).alias("improvement"),
-        F.concat(F.col("disk_space_used_mb").cast("decimal(12,2)").cast("string"), F.lit(" MB")).alias("space_cost"),
+        *([space] if space is not None else []),
     )
 
 
@@ -79,14 +84,6 @@ def checklist_detail(checklist: DataFrame) -> DataFrame:
     return checklist.orderBy("requirement_id")
 
 
-def plan_times(plans: DataFrame, column: str) -> DataFrame:
-    """Planning and execution time out of plan documents (a JSON array with one object)."""
-    plan = F.try_parse_json(F.col(column))
-    return plans.withColumn("planning_ms", F.try_variant_get(plan, "$[0]['Planning Time']", "decimal(12,3)")).withColumn(
-        "execution_ms", F.try_variant_get(plan, "$[0]['Execution Time']", "decimal(12,3)")
-    )
-
-
 def timing_stats(runs: DataFrame, keys: list[str], value: str = "execution_ms") -> DataFrame:
     """Average, minimum, maximum and sample deviation of run times."""
     time = F.col(value)

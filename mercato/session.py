@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
@@ -30,18 +32,20 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it.
+    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only a local session,
-    where driver and executors are one process, may fall back to a temporary
-    folder of its own.
+    On a cluster it must be named.  A local session, whose driver and executors are
+    one process, gets one of its own where the setting is unset; it goes when Python ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="mercato-")
+    own = tempfile.TemporaryDirectory(prefix="mercato-", ignore_cleanup_errors=True)
+    atexit.register(own.cleanup)
+    spark.conf.set("spark.checkpoint.dir", own.name)
+    return own.name
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from conftest import at
 from mercato.operators import quality
 from mercato.plans import documents
-from mercato.plans.generator import CATEGORIES, generate_catalog
 from mercato.sources import io
 from mercato.sources.schemas import CATALOG_DOCUMENT, CATALOG_RULES, REVIEW_DOCUMENT, REVIEW_RULES
 
@@ -105,8 +104,13 @@ def parts(spark, shop):
         [("v1", "fan", 5, at("2018-02-01")), ("v2", "a00", 2, at("2018-03-01"))],
         "review_id STRING, order_id STRING, review_score INT, review_creation_date TIMESTAMP_NTZ",
     )
+    return products, shop.translation, shop.items, shop.orders, reviews
+
+
+@pytest.fixture(scope="module")
+def offers(spark, shop):
     stock = spark.createDataFrame([("p1", "s1", 3), ("p4", "s2", 0)], "product_id STRING, seller_id STRING, stock INT")
-    return products, shop.translation, shop.items, shop.orders, reviews, shop.sellers, stock
+    return documents.product_offers(shop.items, shop.sellers, stock)
 
 
 def test_product_documents(parts):
@@ -115,37 +119,38 @@ def test_product_documents(parts):
     p1 = found["p1"]
     assert p1["computed_metrics"]["total_units_sold"] == 11 and p1["computed_metrics"]["total_revenue"] == 400.0
     assert p1["reviews_summary"] == {"total_reviews": 1, "latest_review_id": "v1"}
-    assert [s["seller_id"] for s in p1["sellers"]] == ["s1"] and p1["sellers"][0]["stock"] == 3
+    assert p1["seller_count"] == 1
     assert found["p3"]["seller_count"] == 2 and found["p3"]["computed_metrics"]["average_rating"] == 2.0
     assert found["p5"]["reviews_summary"]["total_reviews"] == 0
 
 
 def test_review_counts_once_per_product(spark, parts):
-    products, translation, items, orders, reviews, sellers, stock = parts
+    products, translation, items, orders, reviews = parts
     twice = items.unionByName(items.where("order_id = 'fan' AND product_id = 'p1'"))
-    found = {r["_id"]: r for r in rows(documents.build_product_documents(products, translation, twice, orders, reviews, sellers, stock).drop("specifications"))}
+    found = {r["_id"]: r for r in rows(documents.build_product_documents(products, translation, twice, orders, reviews).drop("specifications"))}
     assert found["p1"]["reviews_summary"]["total_reviews"] == 1
     assert found["p1"]["computed_metrics"]["total_units_sold"] == 12
 
 
-def test_long_seller_list_spans_pages_and_loses_nothing(spark, parts):
-    products, translation, _, orders, reviews, _, stock = parts
-    names = "seller_id STRING, seller_name STRING"
-    sellers = spark.createDataFrame([(f"s{i}", f"n{i}") for i in range(60)], names)
-    items = spark.createDataFrame(
-        [("a00", 1, "p1", f"s{i}", 1, 0) for i in range(60)],
-        "order_id STRING, order_item_id INT, product_id STRING, seller_id STRING, price INT, freight_value INT",
-    )
-    catalog = documents.build_product_documents(products, translation, items, orders, reviews, sellers, stock, page_size=10).cache()
-    pages = catalog.where("_id = 'p1'")
-    assert pages.count() == 6
-    offers = [r["s"]["seller_id"] for r in pages.select(F.explode("sellers").alias("s")).collect()]
-    assert sorted(offers) == sorted(f"s{i}" for i in range(60))
-    # Catalog-level jobs see each product once.
+def test_a_product_with_thousands_of_sellers_is_one_document(spark, parts):
+    products, translation, _, orders, reviews = parts
+    sellers = spark.range(3000).select(F.concat(F.lit("s"), "id").alias("seller_id"), F.concat(F.lit("n"), "id").alias("seller_name"))
+    items = sellers.select(
+        F.lit("a00").alias("order_id"), F.lit(1).alias("order_item_id"), F.lit("p1").alias("product_id"), "seller_id",
+        F.lit(1).alias("price"), F.lit(0).alias("freight_value"),
+    )
+    stock = items.select("product_id", "seller_id", F.lit(5).alias("stock"))
+    catalog = documents.build_product_documents(products, translation, items, orders, reviews)
+    offers = documents.product_offers(items, sellers, stock)
+    one = catalog.where("_id = 'p1'")
+    assert one.count() == 1 and one.first()["seller_count"] == 3000 and offers.count() == 3000
     assert documents.catalog_summary(catalog).first()["total_documents"] == 5
-    flat = {r["product_id"]: r["total_sellers"] for r in rows(documents.flatten_catalog(catalog))}
-    assert flat["p1"] == 60
-    catalog.unpersist()
+    report = documents.document_size_report(one.drop("specifications"), [offers]).first()
+    assert report["documents"] == 1 and report["verdict"] == "too large"
+    whole = one.drop("specifications").unionByName(one.drop("specifications"))
+    bytes_of = lambda df: df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0]
+    assert report["total_bytes"] == bytes_of(one.drop("specifications")) + bytes_of(offers) and whole.count() == 2
+    assert quality.validate_documents(one, CATALOG_RULES).count() == 1
 
 
 def test_catalog_with_reviews_keeps_products_without(spark, parts):
@@ -157,11 +162,10 @@ def test_catalog_with_reviews_keeps_products_without(spark, parts):
     ]
 
 
-def test_empty_seller_list_is_dropped_by_unwind(parts):
+def test_low_stock_needs_an_offer(parts, offers):
     catalog = documents.build_product_documents(*parts)
-    emptied = catalog.withColumn("sellers", F.filter("sellers", lambda s: F.lit(False)))
-    assert documents.low_stock_offers(emptied).count() == 0
-    assert [(r["_id"], r["stock"]) for r in rows(documents.low_stock_offers(catalog))] == [("p1", 3)]
+    assert documents.low_stock_offers(catalog, offers.limit(0)).count() == 0
+    assert [(r["_id"], r["stock"]) for r in rows(documents.low_stock_offers(catalog, offers))] == [("p1", 3)]
 
 
 def test_concentration(spark):
@@ -170,25 +174,19 @@ def test_concentration(spark):
     assert (float(row["max_share_pct"]), float(row["top3_share_pct"]), row["hotspot"]) == (40.0, 90.0, True)
 
 
-def test_generator_is_independent_of_partitioning(spark):
-    def texts(df):
-        flat = generate_catalog(df, as_of="2026-01-01").withColumn("specifications", F.to_json("specifications"))
-        return sorted(json.dumps(r.asDict(recursive=True), default=str, sort_keys=True) for r in flat.collect())
-
-    ids = spark.range(1, 501)
-    first = texts(ids)
-    assert first == texts(ids.repartition(3)) and len(first) == 500
-    docs = [json.loads(t) for t in first]
-    assert {d["category"]["name_en"] for d in docs} == set(CATEGORIES)
-    for d in docs:
-        assert set(json.loads(d["specifications"])) == set(CATEGORIES[d["category"]["name_en"]]["specifications"])
-        assert 1 <= len(d["sellers"]) <= 3 and 10 <= d["price"] <= 1000
-    assert quality.validate_documents(generate_catalog(ids), CATALOG_RULES, mode="error").count() == 500
-
-
-def test_documents_round_trip(spark, tmp_path):
-    made = generate_catalog(spark.range(1, 21), as_of="2026-01-01")
-    io.insert_documents(made.limit(10), str(tmp_path / "catalog"))
-    io.insert_documents(made.limit(10), str(tmp_path / "catalog"))
-    back = io.read_documents(spark, str(tmp_path / "catalog"), CATALOG_DOCUMENT)
-    assert back.count() == 20 and back.where("size(sellers) > 0").count() == 20
+def test_documents_round_trip(reviews, spark, tmp_path):
+    io.insert_documents(reviews, str(tmp_path / "reviews"))
+    io.insert_documents(reviews, str(tmp_path / "reviews"))
+    back = io.read_documents(spark, str(tmp_path / "reviews"), REVIEW_DOCUMENT)
+    assert back.count() == 2 * reviews.count()
+    assert sorted(map(str, back.distinct().collect())) == sorted(map(str, reviews.collect()))
+
+
+def test_search_filter_agrees_with_the_score(spark):
+    texts = ["Excelentes produtos", "excelente", "EXCELÊNTE!", "excel", "não excelenteX", "os produtos", "", None, "pre-excelente fim"]
+    df = spark.createDataFrame(list(enumerate(texts)), "_id INT, t STRING")
+    from mercato.functions.text import mentions, text_score
+
+    found = df.select("_id", mentions({"t": 1.0}, "excelente produto").alias("m"), text_score({"t": 1.0}, "excelente produto").alias("s")).collect()
+    assert all(r["m"] == (r["s"] > 0) for r in found)
+    assert [r["_id"] for r in found if r["m"]] == [0, 1, 2, 5, 8]

@@ -57,9 +57,13 @@ def test_completion(spark):
     assert [r["requirement_id"] for r in reports.checklist_detail(checklist).collect()] == [1, 2, 3]
 
 
-def test_timing_from_plans(spark):
-    plans = spark.createDataFrame(
-        [("q", f'[{{"Planning Time": 0.25, "Execution Time": {t}}}]') for t in (1.0, 2.0, 4.5)], "query_name STRING, plan STRING"
-    )
-    row = reports.timing_stats(reports.plan_times(plans, "plan"), ["query_name"]).first()
+def test_timing(spark):
+    runs = spark.createDataFrame([("q", t) for t in (1.0, 2.0, 4.5)], "query_name STRING, execution_ms DOUBLE")
+    row = reports.timing_stats(runs, ["query_name"]).first()
     assert [float(row[c]) for c in ("avg_time", "min_time", "max_time", "stddev_time")] == [2.5, 1.0, 4.5, 1.803]
+
+
+def test_sheet_without_space(summary):
+    bare = summary.drop("disk_space_used_mb")
+    assert "space_cost" not in reports.optimization_detail(bare).columns
+    assert "total_space_mb" not in reports.optimization_rollup(bare).columns
