@@ -6,6 +6,9 @@ a name of its own.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.checks.market import AS_OF
@@ -65,12 +68,11 @@ def _(m):
     return layout.retention_tiers(months, AS_OF)
 
 
-@check(
-    "archive_partitions",
-    "s_orders",
-    f"""SELECT count(*) AS total_rows, count(*) FILTER (WHERE NOT old) AS live_rows, count(*) FILTER (WHERE old) AS archived_rows,
-        'OK' AS result FROM (SELECT order_month <> 'default' AND order_month <= '1998_08' AS old FROM {MONTHLY})""",
-)
+ARCHIVED = f"""SELECT count(*) AS total_rows, count(*) FILTER (WHERE NOT old) AS live_rows, count(*) FILTER (WHERE old) AS archived_rows,
+    'OK' AS result FROM (SELECT order_month <> 'default' AND order_month <= '1998_08' AS old FROM {MONTHLY})"""
+
+
+@check("archive_partitions", "s_orders", ARCHIVED)
 def _(m):
     live, archive = new_table_path(m.spark, "orders_live"), new_table_path(m.spark, "orders_archive")
     return layout.archive_partitions(m.spark, _written(m), live, archive, AS_OF)
@@ -156,47 +158,82 @@ def _(m):
     return orders.unionByName(items, allowMissingColumns=True).unionByName(products, allowMissingColumns=True)
 
 
-def _clustering(table: str, column: str) -> str:
-    value = f"CAST(epoch({column}) AS DOUBLE)" if column.endswith("date") else dbl(column)
-    return f"""SELECT '{column}' AS "column", row_count, {half_up("abs_corr", 6)} AS abs_corr, low, high, CAST(1.0 AS DOUBLE) AS spread,
-        CASE WHEN abs_corr > 0.9 THEN 'excellent' WHEN abs_corr > 0.7 THEN 'good' WHEN abs_corr > 0.5 THEN 'acceptable'
+def _clustering(path: str, order: str, column: str) -> str:
+    """The report on one file whose rows come in the given order."""
+    return f"""SELECT '{column}' AS "column", row_count, {half_up("share", 6)} AS ascending_share, low, high, 0 AS overlapping_files,
+        CASE WHEN share > 0.9 THEN 'excellent' WHEN share > 0.7 THEN 'good' WHEN share > 0.6 THEN 'acceptable'
             ELSE 'not recommended' END AS suitability
-    FROM (SELECT count(*) AS row_count, abs(corr(pos, v)) AS abs_corr, min(v) AS low, max(v) AS high
-        FROM (SELECT CAST(row_number() OVER () AS DOUBLE) AS pos, {value} AS v FROM {table}))"""
+    FROM (SELECT count(*) AS row_count, CAST(greatest(count(*) FILTER (b <= v), count(*) FILTER (b >= v)) AS DOUBLE) / count(b) AS share,
+            CAST(min(v) AS VARCHAR) AS low, CAST(max(v) AS VARCHAR) AS high
+        FROM (SELECT v, lag(v) OVER (ORDER BY pos) AS b FROM (SELECT {column} AS v, row_number() OVER ({order}) AS pos FROM {path})))"""
 
 
-@check(
-    "clustering_report",
-    "",
-    _clustering("orders", "o_orderkey") + " UNION ALL " + _clustering("orders", "o_orderdate"),
-)
+CLUSTERED = [("orders", "", "o_orderkey"), ("orders", "", "o_custkey"), ("orders", "", "o_orderstatus")]
+
+
+@check("clustering_report", "", " UNION ALL ".join(_clustering(*c) for c in CLUSTERED))
 def _(m):
     parts = []
-    for column in ("o_orderkey", "o_orderdate"):
-        report = layout.clustering_report(m.table("orders"), column)
-        shown = report.withColumn("abs_corr", round_half_up(F.col("abs_corr"), 6)).withColumn("column", F.lit(column))
-        parts.append(shown.drop("file"))
-    return parts[0].unionByName(parts[1])
+    for name, _, column in CLUSTERED:
+        report = layout.clustering_report(m.table(name), column)
+        shown = report.withColumn("ascending_share", round_half_up(F.col("ascending_share"), 6)).withColumn("column", F.lit(column))
+        texts = {c: F.col(c).cast("string") for c in ("low", "high")}
+        parts.append(shown.withColumns(texts | {"overlapping_files": F.col("overlapping_files").cast("int")}).drop("file"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _sorted_table(column: str) -> str:
+    return f"""SELECT count(*) AS row_count, CAST(min({column}) AS VARCHAR) AS low, CAST(max({column}) AS VARCHAR) AS high,
+        CAST(1.0 AS DOUBLE) AS lowest_share, TRUE AS several_files FROM s_orders"""
+
+
+def _clustered(m, column: str):
+    """The orders written in order of a column to several files; every file must be sorted."""
+    path = new_table_path(m.spark, "orders_clustered")
+    layout.clustered_write(m.orders, path, column, files=4)
+    table = m.spark.read.parquet(path)
+    files = layout.clustering_report(table, column)
+    found = files.agg(F.min("ascending_share").alias("lowest_share"), (F.count("*") > 1).alias("several_files"))
+    totals = table.agg(F.count("*").alias("row_count"), F.min(column).cast("string").alias("low"), F.max(column).cast("string").alias("high"))
+    return totals.select("*", found.select("lowest_share").scalar().alias("lowest_share"), found.select("several_files").scalar().alias("several_files"))
+
+
+@check("clustered_write", "s_orders", _sorted_table("order_id"))
+def _(m):
+    return _clustered(m, "order_id")
+
+
+@check("clustered_write_text", "s_orders", _sorted_table("order_status"))
+def _(m):
+    return _clustered(m, "order_status")
+
+
+NOTHING_OLD = "SELECT count(*) AS total_rows, count(*) AS live_rows, 0 AS archived_rows, 'OK' AS result FROM s_orders"
+
+
+@check("archive_nothing", "s_orders", NOTHING_OLD)
+def _(m):
+    live, archive = new_table_path(m.spark, "orders_live"), new_table_path(m.spark, "orders_archive")
+    return layout.archive_partitions(m.spark, _written(m), live, archive, "1990-01-01")
+
+
+@check("archive_again", "s_orders", ARCHIVED)
+def _(m):
+    """A second run with the same targets, after a first one that moved fewer months."""
+    path, live, archive = _written(m), new_table_path(m.spark, "orders_live"), new_table_path(m.spark, "orders_archive")
+    layout.archive_partitions(m.spark, path, live, archive, "1999-08-02")
+    return layout.archive_partitions(m.spark, path, live, archive, AS_OF)
 
 
 @check(
-    "clustered_write",
+    "archive_month",
     "s_orders",
-    """SELECT count(*) AS row_count, min(order_purchase_timestamp) AS low, max(order_purchase_timestamp) AS high, TRUE AS sorted
-    FROM s_orders""",
+    f"SELECT 'partition 1996_03 archived: ' || count(*) || ' rows' AS message, count(*) AS archived FROM {MONTHLY} WHERE order_month = '1996_03'",
 )
 def _(m):
-    path = new_table_path(m.spark, "orders_clustered")
-    layout.clustered_write(m.orders, path, "order_purchase_timestamp")
-    table = m.spark.read.parquet(path)
-    files = layout.clustering_report(table, "order_purchase_timestamp")
-    lowest = files.agg(F.min("abs_corr")).scalar()
-    totals = table.agg(
-        F.count("*").alias("row_count"),
-        F.min("order_purchase_timestamp").alias("low"),
-        F.max("order_purchase_timestamp").alias("high"),
-    )
-    return totals.withColumn("sorted", lowest > 0.9)
+    archive = new_table_path(m.spark, "orders_archive")
+    message = layout.archive_month(m.spark, _written(m), archive, "1996_03", AS_OF)
+    return layout.read_monthly(m.spark, archive).agg(F.lit(message).alias("message"), F.count("*").alias("archived"))
 
 
 @check("export_csv", "s_orders", "SELECT order_status, count(*) AS total_orders FROM s_orders GROUP BY 1")

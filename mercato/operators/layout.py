@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.functions.dates import as_date, as_timestamp, month_label, month_start
 from mercato.functions.jsonq import has_key, int_at, parsed
@@ -13,6 +14,8 @@ from mercato.functions.jsonq import has_key, int_at, parsed
 MONTH = "order_month"
 DEFAULT = "default"
 PURCHASE = "order_purchase_timestamp"
+#: Rows of a file that are compared in one window of the clustering report.
+RUN_ROWS = 100_000
 
 
 def with_month(df: DataFrame, ts_col: str, first: str | None = None, last: str | None = None) -> DataFrame:
@@ -49,10 +52,18 @@ def append_rows(df: DataFrame, path: str, ts_col: str = PURCHASE, first: str | N
     with_month(df, ts_col, first, last).hint("rebalance", F.col(MONTH)).write.mode("append").partitionBy(MONTH).parquet(path)
 
 
-def read_monthly(spark: SparkSession, path: str) -> DataFrame:
-    """The monthly table; the partition column is text, never guessed as a number."""
-    plain = spark.read.option("basePath", path).parquet(path)
-    return plain.withColumn(MONTH, F.col(MONTH).cast("string"))
+def read_monthly(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The monthly table; the partition column is text, never guessed as a number.
+
+    With a declared schema an empty or missing folder is an empty table.
+    """
+    if schema is None:
+        plain = spark.read.option("basePath", path).parquet(path)
+        return plain.withColumn(MONTH, F.col(MONTH).cast("string"))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
 def read_pruned(spark: SparkSession, path: str, start: str, end: str, ts_col: str = PURCHASE) -> DataFrame:
@@ -61,11 +72,15 @@ def read_pruned(spark: SparkSession, path: str, start: str, end: str, ts_col: st
     A range on the timestamp does not prune the derived month directories, so
     the month predicate is added; ``default`` may hold any month.
     """
+    inside = (F.col(ts_col) >= as_timestamp(start)) & (F.col(ts_col) < as_timestamp(end))
+    return spark.read.option("basePath", path).parquet(path).where(months_of(start, end) & inside)
+
+
+def months_of(start: str, end: str) -> Column:
+    """The monthly partitions that can hold ``start <= ts < end``; ``default`` may hold any month."""
     begin = dt.datetime.fromisoformat(str(start))
     stop = dt.datetime.fromisoformat(str(end)) - dt.timedelta(microseconds=1)
-    months = F.col(MONTH).between(f"{begin:%Y_%m}", f"{stop:%Y_%m}") | (F.col(MONTH) == DEFAULT)
-    inside = (F.col(ts_col) >= as_timestamp(start)) & (F.col(ts_col) < as_timestamp(end))
-    return spark.read.option("basePath", path).parquet(path).where(months & inside)
+    return F.col(MONTH).between(f"{begin:%Y_%m}", f"{stop:%Y_%m}") | (F.col(MONTH) == DEFAULT)
 
 
 def partition_distribution(df: DataFrame) -> DataFrame:
@@ -98,7 +113,7 @@ def partition_gaps(df: DataFrame, as_of: str | None = None, ahead: int = 2) -> D
     present = df.groupBy(MONTH).agg(F.count("*").alias("n")).where(F.col(MONTH) != DEFAULT)
     begin = F.to_date(F.concat_ws("_", F.min(MONTH), F.lit("01")), "yyyy_MM_dd")
     until = F.add_months(F.trunc(as_date(as_of), "MM"), ahead)
-    expected = present.agg(begin.alias("b")).select(
+    expected = present.agg(begin.alias("b")).where(F.col("b") <= until).select(
         F.explode(F.sequence(F.col("b"), until, F.expr("INTERVAL 1 MONTH"))).alias("d")
     )
     wanted = expected.select(F.date_format("d", "yyyy_MM").alias(MONTH))
@@ -142,23 +157,24 @@ def archive_partitions(
 ) -> DataFrame:
     """Split the table into a live and an archived one by the age of the month.
 
-    Both copies are written by Spark with the month column as partition; the
-    returned row compares the counts.
+    ``live_path`` is replaced as a whole; the archive gains the months moved now and
+    keeps all others, so running again with the same targets changes nothing.  Either
+    side may be empty.  The returned row compares the counts of the months moved.
     """
     table = read_monthly(spark, path)
     begin = F.try_to_date(F.concat_ws("_", F.col(MONTH), F.lit("01")), "yyyy_MM_dd")
     old = F.coalesce(begin <= F.add_months(as_date(as_of), -min_age), F.lit(False))
-    for rows, target in ((table.where(old), archive_path), (table.where(~old), live_path)):
-        rows.hint("rebalance", F.col(MONTH)).write.mode("overwrite").partitionBy(MONTH).parquet(target)
-    total = table.agg(F.count("*").alias("total_rows"))
-    return total.select(
+    for rows, target, scope in ((table.where(old), archive_path, "dynamic"), (table.where(~old), live_path, "static")):
+        rows.hint("rebalance", F.col(MONTH)).write.mode("overwrite").option("partitionOverwriteMode", scope).partitionBy(MONTH).parquet(target)
+    moved = table.where(old).select(MONTH).distinct()
+    archived = read_monthly(spark, archive_path, table.schema).join(moved, MONTH, "left_semi")
+    counts = table.agg(F.count("*").alias("total_rows")).select(
         "total_rows",
-        read_monthly(spark, live_path).agg(F.count("*")).scalar().alias("live_rows"),
-        read_monthly(spark, archive_path).agg(F.count("*")).scalar().alias("archived_rows"),
-    ).withColumn(
-        "result",
-        F.when(F.col("total_rows") == F.col("live_rows") + F.col("archived_rows"), "OK").otherwise("MISMATCH"),
+        read_monthly(spark, live_path, table.schema).agg(F.count("*")).scalar().alias("live_rows"),
+        archived.agg(F.count("*")).scalar().alias("archived_rows"),
     )
+    whole = F.col("total_rows") == F.col("live_rows") + F.col("archived_rows")
+    return counts.withColumn("result", F.when(whole, "OK").otherwise("MISMATCH"))
 
 
 def without_months(df: DataFrame, months: list[str]) -> DataFrame:
@@ -203,45 +219,62 @@ def derived_columns(df: DataFrame) -> DataFrame:
 
 
 def clustering_report(table: DataFrame, column: str) -> DataFrame:
-    """How well each file is ordered by a column, and how far the files overlap.
+    """How well each file is ordered by a column of any sortable type, and how far the files overlap.
 
-    ``table`` must come straight from a file scan.  ``spread`` is the file's
-    share of the overall value range: small means a range filter skips it.
+    ``table`` must come straight from a file scan.  ``ascending_share`` is the share of
+    neighbouring rows that do not descend, whatever the distances; it is the larger of
+    that for either direction.  ``overlapping_files`` counts the other files whose range
+    meets this one's: 0 means a range filter skips all but one file.  Rows are
+    compared within runs of RUN_ROWS by position, so no task holds a file.
     """
-    value = F.col(column)
-    if dict(table.dtypes)[column].startswith("timestamp"):
-        value = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), value)
     rows = table.select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("pos"), value.cast("double").alias("v")
-    )
-    pos, v = F.col("pos").cast("double"), F.col("v")
-    # A file with a single value has no correlation, yet it is perfectly clustered.
-    corr = F.covar_pop(pos, v) / F.nullif(F.stddev_pop(pos) * F.stddev_pop(v), F.lit(0.0))
-    files = rows.groupBy("file").agg(
-        F.count("*").alias("row_count"),
-        F.when(F.min("v") == F.max("v"), F.lit(1.0)).otherwise(F.abs(corr)).alias("abs_corr"),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("pos"), F.col(column).alias("v")
+    ).where(F.col("v").isNotNull())
+    # The last row of a run is also given to the next one, so that no pair of neighbours is lost.
+    run = F.floor(F.col("pos") / RUN_ROWS)
+    runs = F.when(F.col("pos") % RUN_ROWS == RUN_ROWS - 1, F.array(run, run + 1)).otherwise(F.array(run))
+    before = F.lag("v").over(Window.partitionBy("file", "run").orderBy("pos"))
+    pairs = rows.withColumn("run", F.explode(runs)).withColumn("before", before)
+    own = F.floor(F.col("pos") / RUN_ROWS) == F.col("run")
+    counted = F.col("before").isNotNull()
+    files = pairs.groupBy("file").agg(
+        F.count(F.when(own, 1)).alias("row_count"),
+        F.count(F.when(counted & (F.col("before") <= F.col("v")), 1)).alias("up"),
+        F.count(F.when(counted & (F.col("before") >= F.col("v")), 1)).alias("down"),
+        F.count(F.when(counted, 1)).alias("pairs"),
         F.min("v").alias("low"),
         F.max("v").alias("high"),
     )
-    span = files.agg(F.max("high") - F.min("low")).scalar()
-    return files.withColumn("spread", (F.col("high") - F.col("low")) / F.nullif(span, F.lit(0.0))).withColumn(
+    share = F.when(F.col("pairs") == 0, 1.0).otherwise(F.greatest("up", "down") / F.col("pairs"))
+    # Ranges that begin no later than this one ends, less those that end before it begins.
+    bounds = files.select(F.col("low").alias("at"), F.lit(1).alias("begins"), F.lit(0).alias("ends")).unionByName(
+        files.select(F.col("high").alias("at"), F.lit(0).alias("begins"), F.lit(1).alias("ends"))
+    )
+    upto = bounds.groupBy("at").agg(F.sum("begins").alias("begins"), F.sum("ends").alias("ends"))
+    ordered = Window.orderBy("at")
+    running = upto.select("at", F.sum("begins").over(ordered).alias("begun"), (F.sum("ends").over(ordered) - F.col("ends")).alias("ended"))
+    overlaps = files.join(running.select(F.col("at").alias("high"), "begun"), "high").join(running.select(F.col("at").alias("low"), "ended"), "low")
+    return overlaps.select(
+        "file", "row_count", share.alias("ascending_share"), "low", "high", (F.col("begun") - F.col("ended") - 1).alias("overlapping_files")
+    ).withColumn(
         "suitability",
-        F.when(F.col("abs_corr") > 0.9, "excellent")
-        .when(F.col("abs_corr") > 0.7, "good")
-        .when(F.col("abs_corr") > 0.5, "acceptable")
+        F.when(F.col("ascending_share") > 0.9, "excellent")
+        .when(F.col("ascending_share") > 0.7, "good")
+        .when(F.col("ascending_share") > 0.6, "acceptable")
         .otherwise("not recommended"),
     )
 
 
-def clustered_write(df: DataFrame, path: str, column: str) -> None:
+def clustered_write(df: DataFrame, path: str, column: str, files: int | None = None) -> None:
     """Write the table range-partitioned and sorted by a column.
 
-    Rows with equal values may land in different ranges: the row id breaks
+    ``files`` sets their number; Spark's shuffle settings do otherwise.  Rows with equal values may land in different ranges: the row id breaks
     ties, so a value held by a third of the rows does not fill one task.
     """
+    keys = [F.col(column), F.col("_row")]
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
     (
-        df.withColumn("_row", F.monotonically_increasing_id())
-        .repartitionByRange(F.col(column), F.col("_row"))
+        (numbered.repartitionByRange(*keys) if files is None else numbered.repartitionByRange(files, *keys))
         .sortWithinPartitions(column)
         .drop("_row")
         .write.mode("overwrite")

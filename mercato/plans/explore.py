@@ -104,7 +104,7 @@ def null_profile(df: DataFrame, table: str) -> DataFrame:
     structs = [F.struct(F.lit(n).alias("column"), F.col(f"n_{n}").alias("nulls")) for n in df.columns]
     long = row.select(F.lit(table).alias("table"), "_rows", F.inline(F.array(*structs)))
     kept = long.where(F.col("nulls") > 0).withColumn("null_pct", percent(F.col("nulls"), F.col("_rows"), 4))
-    return kept.drop("_rows")
+    return kept.drop("_rows").orderBy(F.desc("nulls"), "column")
 
 
 def duplicate_profile(df: DataFrame, table: str) -> DataFrame:

@@ -14,6 +14,7 @@ from mercato.functions import jsonq
 from mercato.functions.dates import as_date, as_timestamp, days_calendar, days_trunc
 from mercato.functions.numeric import count_where, mean, percent, round_half_up
 from mercato.functions.ordering import newest_first, smallest_first, top_k
+from mercato.operators.layout import MONTH, months_of
 
 PURCHASE = "order_purchase_timestamp"
 DELIVERED_AT = "order_delivered_customer_date"
@@ -192,22 +193,40 @@ def order_payment_summary_bounded(
 # -- products ---------------------------------------------------------------
 
 
-def _product_totals(products: DataFrame, sold: DataFrame, units: Column, revenue: Column, min_orders: int) -> DataFrame:
-    # The two distinct counts are planned as one expanded aggregation keyed by
-    # product and distinct value, so a product with a third of all items is
-    # spread over its orders.  Products join after the aggregation.
-    per_product = sold.groupBy("product_id").agg(
-        F.count_distinct("order_id").alias("orders_count"),
-        units.alias("total_items_sold"),
-        revenue.alias("total_revenue"),
-        (F.sum("price").cast("double") / F.count("price")).alias("avg_unit_price"),
-        F.sum("freight_value").alias("total_freight_cost"),
-        F.count_distinct("seller_id").alias("sellers_count"),
+def _best_products(
+    products: DataFrame, sold: DataFrame, units: Column, revenue: Column, min_orders: int, n: int, digits: int
+) -> DataFrame:
+    """The ``n`` products with most revenue.
+
+    Items are summed per product and order first, so a popular product is spread over
+    its orders and the second step only counts rows.  Sellers are counted for the
+    winners alone, at most ``n`` keys, which may be broadcast at any size of the data.
+    """
+    per_order = sold.groupBy("product_id", "order_id").agg(
+        units.alias("units"),
+        revenue.alias("revenue"),
+        F.sum("price").alias("prices"),
+        F.count("price").alias("priced"),
+        F.sum("freight_value").alias("freight"),
     )
-    names = products.select("product_id", "product_category_name")
-    frequent = per_product.where(F.col("orders_count") >= min_orders)
-    columns = ["product_id", "product_category_name", *[c for c in per_product.columns if c != "product_id"]]
-    return frequent.join(names, "product_id").select(*columns)
+    per_product = per_order.groupBy("product_id").agg(
+        F.count("order_id").alias("orders_count"),
+        F.sum("units").alias("total_items_sold"),
+        F.sum("revenue").alias("total_revenue"),
+        (F.sum("prices").cast("double") / F.sum("priced")).alias("avg_unit_price"),
+        F.sum("freight").alias("total_freight_cost"),
+    )
+    frequent = per_product.where(F.col("orders_count") >= min_orders).join(
+        products.select("product_id", "product_category_name"), "product_id"
+    )
+    order, ties = [newest_first("total_revenue")], ["product_id"]
+    best = top_k(frequent, n, order, ties)
+    winners = F.broadcast(best.select("product_id"))
+    sellers = sold.join(winners, "product_id", "left_semi").select("product_id", "seller_id").distinct()
+    counted = sellers.groupBy("product_id").agg(F.count("seller_id").alias("sellers_count"))
+    ranked = best.join(F.broadcast(counted), "product_id").withColumn("avg_unit_price", round_half_up(F.col("avg_unit_price"), digits))
+    columns = ["product_id", "product_category_name", "orders_count", "total_items_sold", "total_revenue", "avg_unit_price"]
+    return top_k(ranked.select(*columns, "total_freight_cost", "sellers_count"), n, order, ties)
 
 
 def _arrived(orders: DataFrame) -> DataFrame:
@@ -223,9 +242,7 @@ def top_products(
     """Best products by revenue with the line number taken as the quantity."""
     sold = items.join(_arrived(orders), "order_id")
     units, revenue = F.sum(LINE_UNITS), F.sum(F.col("price") * F.col(LINE_UNITS))
-    totals = _product_totals(products, sold, units, revenue, min_orders)
-    totals = totals.withColumn("avg_unit_price", round_half_up(F.col("avg_unit_price"), 6))
-    return top_k(totals, n, [newest_first("total_revenue")], ["product_id"])
+    return _best_products(products, sold, units, revenue, min_orders, n, 6)
 
 
 def top_products_exists(
@@ -234,9 +251,7 @@ def top_products_exists(
     """As :func:`top_products` through a semi join, so a repeated order does not multiply its items."""
     sold = items.join(_arrived(orders), "order_id", "left_semi")
     units, revenue = F.sum(LINE_UNITS), F.sum(F.col("price") * F.col(LINE_UNITS))
-    totals = _product_totals(products, sold, units, revenue, min_orders)
-    totals = totals.withColumn("avg_unit_price", round_half_up(F.col("avg_unit_price"), 2))
-    return top_k(totals, n, [newest_first("total_revenue")], ["product_id"])
+    return _best_products(products, sold, units, revenue, min_orders, n, 2)
 
 
 def top_products_corrected(
@@ -244,9 +259,7 @@ def top_products_corrected(
 ) -> DataFrame:
     """One unit per item line, revenue as the sum of prices."""
     sold = items.join(_arrived(orders), "order_id", "left_semi")
-    totals = _product_totals(products, sold, F.count("*"), F.sum("price"), min_orders)
-    totals = totals.withColumn("avg_unit_price", round_half_up(F.col("avg_unit_price"), 2))
-    return top_k(totals, n, [newest_first("total_revenue")], ["product_id"])
+    return _best_products(products, sold, F.count("*"), F.sum("price"), min_orders, n, 2)
 
 
 def product_attr_contains(products: DataFrame, pattern: object, category: str, n: int = 100) -> DataFrame:
@@ -325,8 +338,9 @@ def _pending_columns(pending: DataFrame, age: Column) -> DataFrame:
 def pending_deliveries(
     orders: DataFrame, customers: DataFrame, as_of: str | None = None, days: int = 60, urgent: int = 2
 ) -> DataFrame:
-    """Open orders by urgency, with the whole days since purchase."""
-    age = days_trunc(as_date(as_of).cast("timestamp_ntz"), F.col(PURCHASE))
+    """Open orders by urgency, with the whole days from purchase to the report time, now by default."""
+    now = F.localtimestamp() if as_of is None else as_timestamp(as_of)
+    age = days_trunc(now, F.col(PURCHASE))
     return _pending_columns(_pending(orders, customers, as_of, days, urgent), age)
 
 
@@ -411,6 +425,9 @@ def seller_revenue_preagg(
     return top_k(ranked.select(*totals.columns, "seller_state", "seller_city"), n, [newest_first("total_revenue")], ["seller_id"])
 
 
+SUMS = ("prices", "priced", "days", "timed")
+
+
 def _geo_matrix(
     orders: DataFrame, customers: DataFrame, items: DataFrame, sellers: DataFrame, start: str, days: Column, min_orders: int
 ) -> DataFrame:
@@ -423,13 +440,28 @@ def _geo_matrix(
     lines = placed.join(items.select("order_id", "seller_id", "price"), "order_id").join(
         sellers.select("seller_id", "seller_state"), "seller_id"
     )
-    matrix = lines.groupBy("customer_state", "seller_state").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("seller_id").alias("unique_sellers"),
-        F.sum("price").alias("total_sales"),
-        (F.sum("price").cast("double") / F.count("price")).alias("avg_order_value"),
-        (F.sum("_days").cast("double") / F.count("_days")).alias("avg_delivery_days"),
+    states = ["customer_state", "seller_state"]
+    # One row per order and seller with partial sums; every distinct count then groups those rows once more.
+    parts = lines.groupBy(*states, "order_id", "customer_id", "seller_id").agg(
+        F.sum("price").alias("prices"), F.count("price").alias("priced"), F.sum("_days").alias("days"), F.count("_days").alias("timed")
+    )
+    # An order has one customer, so orders nest in customers.
+    per_order = parts.groupBy(*states, "customer_id", "order_id").agg(*[F.sum(c).alias(c) for c in SUMS])
+    per_customer = per_order.groupBy(*states, "customer_id").agg(F.count("*").alias("orders"), *[F.sum(c).alias(c) for c in SUMS])
+    totals = per_customer.groupBy(*states).agg(
+        F.sum("orders").alias("total_orders"), F.count("*").alias("unique_customers"), *[F.sum(c).alias(c) for c in SUMS]
+    )
+    sellers_seen = parts.select(*states, "seller_id").distinct().groupBy(*states).agg(F.count("*").alias("unique_sellers"))
+    same = [totals[c].eqNullSafe(sellers_seen[c]) for c in states]
+    matrix = totals.join(sellers_seen, same).select(
+        totals["customer_state"],
+        totals["seller_state"],
+        "total_orders",
+        "unique_customers",
+        "unique_sellers",
+        F.col("prices").alias("total_sales"),
+        (F.col("prices").cast("double") / F.nullif(F.col("priced"), F.lit(0))).alias("avg_order_value"),
+        (F.col("days").cast("double") / F.nullif(F.col("timed"), F.lit(0))).alias("avg_delivery_days"),
     )
     return matrix.where(F.col("total_orders") >= min_orders)
 
@@ -468,15 +500,19 @@ def order_detail(
     payments: DataFrame,
     order_id: object,
 ) -> DataFrame:
-    """Everything about one order: each item next to each payment."""
+    """Everything about one order: each item next to each payment.
+
+    The order's rows are few by contract (its key is unique, see the uniqueness rule;
+    items and payments belong to it), so they are broadcast to the dimensions, which
+    are scanned in place and never shuffled.
+    """
     one = F.col("order_id") == order_id
+    placed = customers.join(F.broadcast(orders.where(one)), "customer_id")
+    lines = placed.join(F.broadcast(items.where(one)), "order_id")
+    described = products.select("product_id", "product_category_name").join(F.broadcast(lines), "product_id")
     return (
-        orders.where(one)
-        .join(customers, "customer_id")
-        .join(items.where(one), "order_id")
-        .join(products.select("product_id", "product_category_name"), "product_id")
-        .join(sellers, "seller_id")
-        .join(payments.where(one), "order_id", "left")
+        sellers.join(F.broadcast(described), "seller_id")
+        .join(F.broadcast(payments.where(one)), "order_id", "left")
         .orderBy(smallest_first("order_item_id"), smallest_first("payment_sequential"))
         .select(
             "order_id",
@@ -525,5 +561,10 @@ def status_counts(orders: DataFrame) -> DataFrame:
 
 
 def order_lookup_in_month(orders: DataFrame, order_id: object, start: str, end: str) -> DataFrame:
-    """One order, with the period that lets the scan skip everything else."""
-    return orders.where((F.col("order_id") == order_id) & purchased_between(start, end))
+    """One order of a period.
+
+    On the monthly table (see ``operators.layout``) the months of the period become
+    partition filters, so the scan opens only their folders and ``default``.
+    """
+    found = orders.where((F.col("order_id") == order_id) & purchased_between(start, end))
+    return found.where(months_of(start, end)) if MONTH in orders.columns else found

@@ -79,6 +79,54 @@ def test_archive_split(spark, monthly, tmp_path):
     assert months(str(tmp_path / "old")) == ["2017_01"]
 
 
+def test_archive_again_and_with_nothing_to_move(spark, shop, monthly, tmp_path):
+    live, old = str(tmp_path / "live"), str(tmp_path / "old")
+    moved = lambda day: tuple(layout.archive_partitions(spark, monthly, live, old, day).first())
+    assert moved("2015-01-01") == (29, 29, 0, "OK")
+    assert moved("2020-02-01") == (29, 7, 22, "OK")
+    # The second run finds the month archived already and must not leave it in the live table.
+    assert moved("2020-02-01") == (29, 7, 22, "OK") and months(live) == ["2017_03", "default"]
+    assert moved("2030-01-01") == (29, 5, 24, "OK") and months(old) == ["2017_01", "2017_03"]
+    everything = str(tmp_path / "all")
+    layout.write_monthly(shop.orders.where("order_id = 'early'"), everything)
+    assert tuple(layout.archive_partitions(spark, everything, live, str(tmp_path / "old2"), "2030-01-01").first()) == (1, 0, 1, "OK")
+
+
+def test_gaps_before_the_first_month(spark, monthly):
+    assert layout.partition_gaps(layout.read_monthly(spark, monthly), "2010-01-15").count() == 0
+
+
+def test_clustering_goes_by_order_not_by_distance(spark, tmp_path):
+    path = str(tmp_path / "t")
+    skewed = spark.range(1, 2001).select(F.pow(F.lit(1.01), F.col("id")).alias("v"), F.format_string("%06d", "id").alias("name"), (F.hash("id") % 97).alias("mixed"))
+    skewed.repartitionByRange(4, "v").sortWithinPartitions("v").write.parquet(path)
+    table = spark.read.parquet(path)
+    for column in ("v", "name"):
+        files = layout.clustering_report(table, column).collect()
+        assert len(files) == 4 and sum(r["row_count"] for r in files) == 2000
+        assert all((r["ascending_share"], r["overlapping_files"], r["suitability"]) == (1.0, 0, "excellent") for r in files)
+    mixed = layout.clustering_report(table, "mixed").collect()
+    assert all(r["suitability"] == "not recommended" and r["overlapping_files"] == 3 for r in mixed)
+
+
+def test_clustering_runs_lose_no_neighbours(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(v,) for v in [1, 2, 3, 2, 5, 6, 1, 8, None, 9]], "v INT").coalesce(1).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    whole = layout.clustering_report(table, "v").first()
+    monkeypatch.setattr(layout, "RUN_ROWS", 2)
+    cut = layout.clustering_report(table, "v").first()
+    assert whole["row_count"] == cut["row_count"] == 9 and whole["ascending_share"] == 0.75
+
+
+def test_lookup_opens_only_the_months_of_the_period(spark, monthly):
+    from mercato.plans import retail
+
+    found = retail.order_lookup_in_month(layout.read_monthly(spark, monthly), "early", "2017-03-01", "2017-04-01")
+    assert [r["order_id"] for r in found.collect()] == ["early"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "2017_03" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_gaps(spark, monthly):
     gaps = [r["order_month"] for r in layout.partition_gaps(layout.read_monthly(spark, monthly), "2017-03-15").collect()]
     assert gaps == ["2017_02", "2017_04", "2017_05"]
@@ -109,7 +157,7 @@ def test_clustered_write_splits_a_hot_value(spark, tmp_path):
     assert sum(r["row_count"] for r in files) == 60_000
     # A third of the rows has one value; no file holds that third.
     assert max(r["row_count"] for r in files) < 15_000
-    assert sum(r["spread"] for r in files) < 1.5
+    assert min(r["ascending_share"] for r in files) == 1.0
 
 
 def test_snapshot_and_csv(spark, shop, tmp_path):

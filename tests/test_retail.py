@@ -153,3 +153,31 @@ def test_state_sales_and_status(shop):
     assert [(r["customer_state"], r["total_orders"], r["total_sales"]) for r in found] == [("RJ", 21, Decimal("287.00"))]
     counts = {r["order_status"]: r["total_orders"] for r in rows(retail.status_counts(shop.orders))}
     assert counts["delivered"] == 22 and counts["created"] == 1
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_heavy_queries_expand_no_rows(shop):
+    assert "Expand" not in plan_of(retail.top_products(shop.products, shop.items, shop.orders))
+    assert "Expand" not in plan_of(retail.geo_sales_matrix(shop.orders, shop.customers, shop.items, shop.sellers, "2017-01-01", 1))
+
+
+def test_one_order_shuffles_no_dimension(spark, shop):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(retail.order_detail(shop.orders, shop.customers, shop.items, shop.products, shop.sellers, shop.payments, "fan"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 5
+
+
+def test_report_time_counts_hours(shop):
+    # open1 was bought at 18:00; at 17:00 sixteen days later fifteen whole days have passed.
+    def age(as_of):
+        found = retail.pending_deliveries(shop.orders, shop.customers, as_of=as_of)
+        return {r["order_id"]: r["days_since_purchase"] for r in found.collect()}
+
+    assert age("2018-01-18 17:00:00")["open1"] == 15 and age("2018-01-18 18:00:00")["open1"] == 16
