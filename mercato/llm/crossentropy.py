@@ -118,7 +118,7 @@ def score_documents(documents: DataFrame, target: DataFrame, key: str = "doc_id"
     known = vocabulary(texts.select("text"), size)
     shared = spark.sparkContext.broadcast(known)
     background = loss(pair_counts(texts.select("text"), shared, len(known)))
-    good = loss(pair_counts(texts.join(ids, "id", "left_semi").select("text"), shared, len(known)))
+    good = loss(pair_counts(texts.join(ids.hint("merge"), "id", "left_semi").select("text"), shared, len(known)))
     with np.errstate(invalid="ignore"):
         difference = np.nan_to_num(good - background, nan=0.0, posinf=0.0, neginf=0.0).astype(np.float32).ravel()
     table = spark.sparkContext.broadcast(difference)
