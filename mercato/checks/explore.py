@@ -387,6 +387,18 @@ def _(m):
     return explore.geo_sample(m.geolocation, ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"])
 
 
+@check(
+    "geo_sample_small",
+    "s_geolocation",
+    f"""SELECT geolocation_zip_code_prefix, {dbl("geolocation_lat")} AS geolocation_lat, {dbl("geolocation_lng")} AS geolocation_lng,
+        geolocation_city, geolocation_state FROM s_geolocation
+    ORDER BY md5('42:' || geolocation_zip_code_prefix || ':' || geolocation_lat || ':' || geolocation_lng),
+        geolocation_zip_code_prefix, s_geolocation.geolocation_lat, s_geolocation.geolocation_lng LIMIT 100""",
+)
+def _(m):
+    return explore.geo_sample(m.geolocation, ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"], n=100)
+
+
 @check(
     "geo_cardinality",
     "s_geolocation",

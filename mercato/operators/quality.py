@@ -127,12 +127,17 @@ def migration_count_check(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+#: Column that holds a document as it was read, as VARIANT.
+DOCUMENT = "_document"
+
+
 @dataclass(frozen=True)
 class Field:
     """Constraint on one (possibly nested) field of a document.
 
-    ``kind`` is the JSON type expected where the field is held as VARIANT;
-    typed columns have their type checked by the schema itself.
+    ``kind`` is the JSON type.  It is checked on the document as it was read where that
+    is at hand (column ``_document``, see ``sources.io.read_documents``), or on a field
+    held as VARIANT; a typed column alone has lost what did not fit.
     """
 
     path: str
@@ -159,22 +164,32 @@ VARIANT_KINDS = {
 }
 
 
-def _field_problems(rule: Field) -> list[Column]:
+def _kind_fits(raw: Column, kind: str) -> Column:
+    shape = F.schema_of_variant(raw)
+    if kind == "date":  # JSON writes a date as text
+        text = F.try_variant_get(raw, "$", "string")
+        return F.coalesce(shape.startswith("STRING") & F.try_to_timestamp(text).isNotNull(), F.lit(False))
+    return reduce(lambda a, b: a | b, [shape.startswith(p) for p in VARIANT_KINDS[kind]])
+
+
+def _field_problems(rule: Field, document: Column | None, held_as_variant: bool) -> list[Column]:
     value = F.col(rule.path)
+    raw = value if held_as_variant else None
+    if document is not None:
+        raw = F.try_variant_get(document, "$." + rule.path, "variant")
     problems: list[Column] = []
 
     def add(bad: Column, what: str) -> None:
         problems.append(F.when(bad, F.lit(f"{rule.path}: {what}")))
 
+    missing = value.isNull() if document is None else raw.isNull() | F.is_variant_null(raw)
     if rule.required:
-        missing = value.isNull()
+        absent = missing
         if rule.within:  # required inside an optional sub-document
-            missing = missing & F.col(rule.within).isNotNull()
-        add(missing, "required")
-    if rule.kind is not None:
-        shape = F.schema_of_variant(value)
-        fits = reduce(lambda a, b: a | b, [shape.startswith(p) for p in VARIANT_KINDS[rule.kind]])
-        add(value.isNotNull() & ~fits, f"not {rule.kind}")
+            absent = missing & F.col(rule.within).isNotNull()
+        add(absent, "required")
+    if rule.kind is not None and raw is not None:
+        add(~missing & ~_kind_fits(raw, rule.kind), f"not {rule.kind}")
     if rule.low is not None:
         add(value < rule.low, f"below {rule.low:g}")
     if rule.high is not None:
@@ -198,7 +213,9 @@ def validate_documents(df: DataFrame, rules: list[Field], mode: str = "warn") ->
     """
     if mode not in ("warn", "error"):
         raise ValueError("mode must be 'warn' or 'error'")
-    problems = [p for rule in rules for p in _field_problems(rule)]
+    document = F.col(DOCUMENT) if DOCUMENT in df.columns else None
+    variant = {rule.path: df.select(rule.path).schema[0].dataType.simpleString() == "variant" for rule in rules if rule.kind}
+    problems = [p for rule in rules for p in _field_problems(rule, document, variant.get(rule.path, False))]
     found = F.array_compact(F.array(*problems))
     if mode == "warn":
         return df.withColumn("_violations", found)

@@ -88,39 +88,39 @@ FOREIGN_KEYS = {
 }
 
 REVIEW_RULES = [
-    Field("_id", required=True),
-    Field("order_id", required=True),
-    Field("review", required=True),
-    Field("review.score", required=True, within="review", low=1, high=5),
-    Field("review.created_at", required=True, within="review"),
-    Field("review.title", max_length=100),
-    Field("sentiment_analysis.polarity", low=-1, high=1),
-    Field("sentiment_analysis.subjectivity", low=0, high=1),
+    Field("_id", required=True, kind="string"),
+    Field("order_id", required=True, kind="string"),
+    Field("review", required=True, kind="object"),
+    Field("review.score", required=True, within="review", low=1, high=5, kind="int"),
+    Field("review.created_at", required=True, within="review", kind="date"),
+    Field("review.title", max_length=100, kind="string"),
+    Field("sentiment_analysis.polarity", low=-1, high=1, kind="double"),
+    Field("sentiment_analysis.subjectivity", low=0, high=1, kind="double"),
     Field("sentiment_analysis.classification", allowed=SENTIMENTS),
-    Field("sentiment_analysis.keywords", item_low_length=0),
-    Field("sentiment_analysis.topics", item_low_length=0),
-    Field("helpful_votes", low=0),
+    Field("sentiment_analysis.keywords", item_low_length=0, kind="array"),
+    Field("sentiment_analysis.topics", item_low_length=0, kind="array"),
+    Field("helpful_votes", low=0, kind="int"),
 ]
 CATALOG_RULES = [
-    Field("_id", required=True),
-    Field("name", required=True, min_length=1, max_length=200),
-    Field("category", required=True),
+    Field("_id", required=True, kind="string"),
+    Field("name", required=True, min_length=1, max_length=200, kind="string"),
+    Field("category", required=True, kind="object"),
     Field("category.name_pt", required=True, within="category"),
     Field("category.name_en", required=True, within="category"),
-    Field("price", required=True, low=0),
-    Field("computed_metrics.total_units_sold", low=0),
-    Field("computed_metrics.average_rating", low=0, high=5),
+    Field("price", required=True, low=0, kind="double"),
+    Field("computed_metrics.total_units_sold", low=0, kind="int"),
+    Field("computed_metrics.average_rating", low=0, high=5, kind="double"),
     Field("specifications", kind="object"),
     Field("stock_status", allowed=STOCK_STATES),
 ]
 SHELL_CATALOG_RULES = CATALOG_RULES[:6] + [
-    Field("dimensions.weight_g", low=1),
-    Field("dimensions.length_cm", low=1),
-    Field("dimensions.height_cm", low=1),
-    Field("dimensions.width_cm", low=1),
-    Field("images", item_low_length=0),
+    Field("dimensions.weight_g", low=1, kind="double"),
+    Field("dimensions.length_cm", low=1, kind="double"),
+    Field("dimensions.height_cm", low=1, kind="double"),
+    Field("dimensions.width_cm", low=1, kind="double"),
+    Field("images", item_low_length=0, kind="array"),
     Field("attributes", kind="object"),
-    Field("ratings.avg_score", low=1, high=5),
-    Field("ratings.total_reviews", low=0),
-    Field("availability.stock_quantity", low=0),
+    Field("ratings.avg_score", low=1, high=5, kind="double"),
+    Field("ratings.total_reviews", low=0, kind="int"),
+    Field("availability.stock_quantity", low=0, kind="int"),
 ]

@@ -95,6 +95,27 @@ def test_variant_type_is_checked(spark, tmp_path):
     }
 
 
+def test_wrong_types_are_reported_not_lost(spark, tmp_path):
+    docs = [
+        {"_id": 7, "order_id": "o", "review": {"score": 4.5, "created_at": "soon"}, "helpful_votes": "many", "sentiment_analysis": {"polarity": "high"}},
+        {"_id": "b", "order_id": None, "review": "none"},
+    ]
+    (tmp_path / "r.json").write_text("\n".join(json.dumps(d) for d in docs))
+    checked = rows(quality.validate_documents(io.read_documents(spark, str(tmp_path / "r.json"), REVIEW_DOCUMENT), REVIEW_RULES).select("_violations"))
+    assert checked[0]["_violations"] == [
+        "_id: not string", "review.score: not int", "review.created_at: not date", "sentiment_analysis.polarity: not double", "helpful_votes: not int",
+    ]
+    assert checked[1]["_violations"] == ["order_id: required", "review: not object"]
+
+
+def test_csv_values_that_do_not_fit(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("order_id,payment_sequential,payment_type,payment_installments,payment_value\na,1,voucher,1,abc\nb,1,voucher,1,2.50\n")
+    with pytest.raises(Exception, match="(?i)malformed|abc|NumberFormat|FAILED_READ"):
+        io.read_csv_table(spark, str(tmp_path / "p.csv"), "order_payments").collect()
+    kept = io.read_csv_table(spark, str(tmp_path / "p.csv"), "order_payments", keep_bad=True)
+    assert [tuple(r) for r in io.bad_records(kept).collect()] == [("a", "a,1,voucher,1,abc")] and kept.count() == 2
+
+
 @pytest.fixture(scope="module")
 def parts(spark, shop):
     products = shop.products.select(
@@ -175,9 +196,10 @@ def test_concentration(spark):
 
 
 def test_documents_round_trip(reviews, spark, tmp_path):
+    reviews = reviews.drop("_document")
     io.insert_documents(reviews, str(tmp_path / "reviews"))
     io.insert_documents(reviews, str(tmp_path / "reviews"))
-    back = io.read_documents(spark, str(tmp_path / "reviews"), REVIEW_DOCUMENT)
+    back = io.read_documents(spark, str(tmp_path / "reviews"), REVIEW_DOCUMENT).drop("_document")
     assert back.count() == 2 * reviews.count()
     assert sorted(map(str, back.distinct().collect())) == sorted(map(str, reviews.collect()))
 
