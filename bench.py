@@ -7,10 +7,13 @@ materialised without being collected.
 
 from __future__ import annotations
 
+import atexit
 import json
 import os
+import shutil
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -50,12 +53,15 @@ HEADLINE = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
+    shared = tempfile.mkdtemp(prefix="bench-")
+    atexit.register(shutil.rmtree, shared, ignore_errors=True)
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", shared)
         # Call sites per column expression are a debugging aid; each costs round trips to the JVM.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

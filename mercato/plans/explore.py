@@ -109,7 +109,10 @@ def null_profile(df: DataFrame, table: str) -> DataFrame:
 
 def duplicate_profile(df: DataFrame, table: str) -> DataFrame:
     """Rows that repeat an earlier row in every column, NULLs being equal."""
-    copies = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    # Texts enter the shuffle as 256-bit digests, not as a whole.
+    kinds = dict(df.dtypes)
+    keys = [F.unhex(F.sha2(F.col(c), 256)).alias(c) if kinds[c] == "string" else F.col(c) for c in df.columns]
+    copies = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     totals = copies.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates")
     )
