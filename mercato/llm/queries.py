@@ -140,7 +140,24 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return passages.find_passages(table(spark, folder, "documents"))
 
 
-@query("op8_quality_rules")
+_UPPER_PAIRS = "len(regexp_extract_all(' ' || t, '[^A-Za-z][A-Z]{2}'))"
+
+_RULES_SQL = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+    w AS (SELECT r, doc_id, t, {_WORDS_SQL.format("t")} AS ws,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+    windows AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM w, unnest(range(1, len(ws) - 1)) AS u(i)),
+    again AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+    covered AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM again) GROUP BY r),
+    s AS (SELECT doc_id, t, len(ls) AS n_lines, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+        CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN covered USING (r)),
+    b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR 10 * n_symbols > n_words
+        OR word_chars > 12 * n_words OR word_chars < 2 * n_words OR 2 * n_dup_lines > n_lines
+        OR 2 * {_UPPER_PAIRS} > n_words OR 3 * len(regexp_extract_all(t, '!')) > n_words) AS kept FROM b"""
+
+
+@query("op8_quality_rules", _RULES_SQL)
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = rules.judge_quality(table(spark, folder, "documents").select("doc_id", "text"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
