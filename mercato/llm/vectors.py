@@ -18,7 +18,7 @@ _LOWER[65:91] += 32
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_PIECE = 1 << 21
+_PIECE = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,9 +33,20 @@ _SYMBOL = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
+    """The first n powers; a piece's worth of them is kept."""
+    if n > _PIECE + 1:
+        return _powers(base, n)
+    if base not in _KEPT:
+        _KEPT[base] = _powers(base, _PIECE + 1)
+    return _KEPT[base][:n]
+
+
+_KEPT: dict[np.uint64, np.ndarray] = {}
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
-    if n:
-        out[0] = 1
+    out[:1] = 1
     with np.errstate(over="ignore"):
         return np.cumprod(out, dtype=np.uint64)
 
@@ -130,13 +141,16 @@ class Words:
 
 
 def distinct_per_row(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct hashes of each row, and the offsets of the rows in them."""
-    order = np.lexsort((hashes, rows))
-    hashes, rows = hashes[order], rows[order]
+    """Sorted distinct hashes of each row, and the offsets of the rows in them; rows come in order."""
+    cuts = np.searchsorted(rows, np.arange(n_rows + 1))
+    hashes = hashes.copy()
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        hashes[a:b].sort()
     new = np.ones(len(hashes), dtype=bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
-    hashes, rows = hashes[new], rows[new]
-    return hashes, np.searchsorted(rows, np.arange(n_rows + 1))
+    new[1:] = hashes[1:] != hashes[:-1]
+    new[cuts[:-1][cuts[:-1] < len(hashes)]] = True
+    kept = np.concatenate(([0], np.cumsum(new)))
+    return hashes[new], kept[cuts]
 
 
 def signed(x: np.ndarray) -> np.ndarray:
