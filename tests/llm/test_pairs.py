@@ -92,15 +92,9 @@ def test_components_equal_brute_force(llm, monkeypatch):
     assert found == linked(rows)
     monkeypatch.setattr(jaccard, "TILE", 8)  # blocks in many tiles, and no star to help the tree
     monkeypatch.setattr(jaccard.JaccardJoin, "stars", lambda self, blocks, points: blocks.limit(0).selectExpr("class AS a", "class AS b"))
-    ship_again(llm, jaccard)
     assert sorted(map(tuple, jaccard.link_documents(frame).collect()), key=str) == found
 
 
-def ship_again(llm, module):
-    """Changed constants act on the driver only, which is where the plan is made."""
-    assert module.TILE == 8
-
-
 def test_one_row_of_each_component_stays(llm):
     rows = corpus()
     kept = jaccard.keep_one(documents(llm, rows))
@@ -132,6 +126,17 @@ def test_tree_keeps_every_pair_that_can_reach_the_overlap():
         assert got == expected
 
 
+def test_packed_vectors_round_trip():
+    draw = np.random.default_rng(7)
+    for n in (0, 1, 5, 300, 20000):
+        hashes = np.sort(draw.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        groups = (hashes >> np.uint64(64 - jaccard.FINE_BITS)).astype(np.int64)
+        found = jaccard.unpacked(pa.scalar(jaccard.packed(hashes), pa.binary()))
+        assert found.tolist() == groups.tolist()
+        numbered = jaccard._numbered(found)
+        assert len(set(numbered.tolist())) == n and (np.diff(numbered) > 0).all()
+
+
 def test_near_duplicates_of_odd_rows(odd, nothing):
     found = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard.link_documents(odd).collect()}
     assert found[(4, 76)] == 4 and found[(None, 76)] == 4 and found[(1, 0)] == 1 and found[(6, 1)] == 6
