@@ -2,9 +2,14 @@
 
 The target model is counted on documents labelled good, the background model on
 the whole corpus.  Both have the order, the smoothing and the vocabulary in common:
-the most frequent words of the corpus, all others being one unknown word.  The
-score of a document is its mean loss per token under the target model minus that
-under the background model; lower means more like the target.
+every word of the corpus.  The score of a document is its mean loss per token under
+the target model minus that under the background model; lower means more like the
+target.
+
+Documents lie in blocks of a bounded size.  A block sends each of its distinct
+bigrams, words and contexts once, with its own counts, to the part of the key range
+it belongs to; there the counts of all blocks are summed and sent back.  So neither
+the models nor the tokens of a common word are ever in one place.
 """
 
 from __future__ import annotations
@@ -13,115 +18,137 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.llm.vectors import Texts, pieces, signed
+from mercato.llm.tables import stored
+from mercato.llm.vectors import Texts, mix, pieces
 
-#: Words of the vocabulary; with it a model has (VOCABULARY + 2)^2 cells, whatever the corpus.
-VOCABULARY = 1000
 INTERPOLATION = 0.7
 SMOOTHING = 0.5
+#: Tokens of the corpus for each part of the key range, and the least number of parts as a power of two.
+PART_TOKENS = 1 << 22
+PART_BITS = 8
+#: The low bits of a key tell bigrams (0), words (1) and contexts (2) apart.
+_KIND = np.uint64(3)
+_BEGIN, _SALT = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in pieces(batch, "text", 1 << 24):
-            found, counts = np.unique(signed(Texts(part.column("text")).words().hash), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts.astype(np.int64))], ["word", "n"])
-
-
-def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> np.ndarray:
-    """Sorted hashes of the most frequent words; counted over all texts, ties by hash."""
-    counts = texts.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return np.sort(np.array([r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()], dtype=np.int64))
-
-
-def _pairs(texts: Texts, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cell (previous word, word) and row of every token; id 0 opens a text, the last id is unknown."""
-    words, unknown, width = texts.words(), len(known) + 1, len(known) + 2
-    keys = signed(words.hash)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        ids = np.where(known[at] == keys, at + 1, unknown)
-    else:
-        ids = np.full(len(keys), unknown)
-    before = np.concatenate(([0], ids[:-1])) if len(ids) else ids
-    if len(ids):
-        before[words.first[:-1][np.diff(words.first) > 0]] = 0
-    return before * width + ids, words.row
-
-
-def _pair_counts(shared):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        total = np.zeros((len(known) + 2) ** 2, dtype=np.int64)
-        for batch in batches:
-            for part in pieces(batch, "text"):
-                cells, _ = _pairs(Texts(part.column("text")), known)
-                total += np.bincount(cells, minlength=len(total))
-        cells = np.flatnonzero(total)
-        for at in range(0, len(cells), 1 << 18):
-            own = cells[at : at + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], ["cell", "n"])
-
-    return count
-
-
-def pair_counts(texts: DataFrame, shared, size: int) -> np.ndarray:
-    """Dense bigram counts; at most one row per cell reaches the driver."""
-    counts = texts.mapInArrow(_pair_counts(shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    found = counts.toPandas()
-    out = np.zeros((size + 2) ** 2, dtype=np.float64)
-    out[found["cell"].to_numpy(dtype=np.int64)] = found["n"].to_numpy()
-    return out.reshape(size + 2, size + 2)
+def _p(pair, seen, word, total, words):
+    """p(word | previous): bigram interpolated with an add-a unigram over ``words`` words."""
+    unigram = (word + SMOOTHING) / (total + SMOOTHING * words)
+    bigram = np.where(seen > 0, pair / np.maximum(seen, 1), unigram)
+    return INTERPOLATION * bigram + (1 - INTERPOLATION) * unigram
 
 
 def loss(counts: np.ndarray) -> np.ndarray:
-    """-log p(word | previous): bigram interpolated with an add-a unigram; rows sum to one over words."""
+    """-log p(word | previous) of a dense table; id 0 opens a text and is no word; rows sum to one over words."""
     word = counts.sum(axis=0)
-    word[1:] += SMOOTHING
-    unigram = word / word[1:].sum()
-    seen = counts.sum(axis=1, keepdims=True)
-    bigram = np.where(seen > 0, counts / np.maximum(seen, 1), unigram)
-    p = INTERPOLATION * bigram + (1 - INTERPOLATION) * unigram
+    p = _p(counts, counts.sum(axis=1, keepdims=True), word, word[1:].sum(), len(word) - 1)
+    p[:, 0] = 0
     with np.errstate(divide="ignore"):
         return -np.log(p)
 
 
-def _scorer(vocabulary_shared, difference_shared):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, table = vocabulary_shared.value, difference_shared.value
+def _keys(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys of a block, the places in them of each token's bigram, word and context, and its row."""
+    words = texts.words()
+    own = words.hash
+    before = np.concatenate((own[:0], own[:1], own[:-1]))
+    before[words.first[:-1][np.diff(words.first) > 0]] = _BEGIN
+    with np.errstate(over="ignore"):
+        pair = mix(mix(before ^ _SALT) + own)
+    kinds = (pair, mix(own), mix(before))
+    keys, at = np.unique(np.concatenate([k & ~_KIND | np.uint64(i) for i, k in enumerate(kinds)]), return_inverse=True)
+    return keys, at.reshape(3, -1), words.row
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    number = TaskContext.get().partitionId() << 33
+    for batch in batches:
+        for part in pieces(batch, "text"):
+            words = Texts(part.column("text")).words()
+            n, good = np.diff(words.first), part.column("good").fill_null(False)
+            lists = [pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), c) for c in (part.column("id"), part.column("text"), good)]
+            sums = [int(n.sum()), int(n[good.to_numpy(zero_copy_only=False)].sum())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), *lists, *[pa.array([s]) for s in sums]], ["block", "ids", "texts", "good", "n", "n_good"]
+            )
+            number += 1
+
+
+def _sent(bits: int):
+    """(block, part, keys, n, n_good): the distinct keys of a block by part of the key range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, "text"):
-                cells, rows = _pairs(Texts(part.column("text")), known)
-                n = np.bincount(rows, minlength=part.num_rows)
-                sums = np.bincount(rows, weights=table[cells], minlength=part.num_rows)
-                mean = pa.array(sums / np.maximum(n, 1), mask=n == 0)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n.astype(np.int64)), mean], ["id", "n_words", "score"])
+            for i in range(batch.num_rows):
+                keys, at, rows = _keys(Texts(batch.column("texts")[i].values))
+                good = np.tile(batch.column("good")[i].values.to_numpy(zero_copy_only=False)[rows], 3)
+                n = np.bincount(at.ravel(), minlength=len(keys)).astype(np.uint32)
+                n_good = np.bincount(at.ravel()[good], minlength=len(keys)).astype(np.uint32)
+                parts = keys >> np.uint64(64 - bits)
+                first = np.flatnonzero(np.concatenate(([True], parts[1:] != parts[:-1]))) if len(keys) else np.zeros(0, int)
+                cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=True)) if len(keys) else []
+                held = [pa.array([c[a:b].tobytes() for a, b in cuts], pa.binary()) for c in (keys, n, n_good)]
+                block = pa.array([batch.column("block")[i].as_py()] * len(cuts), pa.int64())
+                yield pa.RecordBatch.from_arrays([block, pa.array(parts[first].astype(np.int64)), *held], ["block", "part", "keys", "n", "n_good"])
+
+    return run
+
+
+def _values(column: pa.ChunkedArray, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
+
+
+def _summed(sent: pa.Table) -> pa.Table:
+    """The counts of all blocks for the keys that each block sent; ``words`` has the distinct words in one row."""
+    keys, at = np.unique(_values(sent["keys"], np.uint64), return_inverse=True)
+    sums = [np.bincount(at, weights=_values(sent[c], np.uint32), minlength=len(keys)).astype(np.int64)[at] for c in ("n", "n_good")]
+    cuts = np.cumsum([0, *[len(k.as_buffer()) // 8 for k in sent["keys"]]]).tolist()
+    held = [pa.array([s[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()) for s in sums]
+    words = [int((keys & _KIND == 1).sum())] + [0] * (sent.num_rows - 1)
+    return pa.table([sent["block"], sent["part"], *held, pa.array(words, pa.int64())], names=["block", "part", "n", "n_good", "words"])
+
+
+def _scored(total: int, total_good: int, words: int):
+    def score(blocks: pa.Table, sums: pa.Table) -> pa.Table:
+        sums = sums.sort_by("part")
+        n, n_good = _values(sums["n"], np.int64), _values(sums["n_good"], np.int64)
+        ids, texts = (blocks[c].combine_chunks().flatten() for c in ("ids", "texts"))
+        _, (pair, word, context), rows = _keys(Texts(texts))
+        difference = np.log(_p(n[pair], n[context], n[word], total, words)) - np.log(_p(n_good[pair], n_good[context], n_good[word], total_good, words))
+        length = np.bincount(rows, minlength=len(ids))
+        mean = np.bincount(rows, weights=difference, minlength=len(ids)) / np.maximum(length, 1)
+        return pa.table([ids, pa.array(length.astype(np.int64)), pa.array(mean, mask=length == 0)], names=["id", "n_words", "score"])
 
     return score
 
 
-def score_documents(documents: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", size: int = VOCABULARY) -> DataFrame:
+def score_documents(documents: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_words, score), one row per input row.
 
     ``target`` holds the keys of the target documents; nulls in it are ignored and
     repeats count once.  A document without words, null text included, has n_words 0
     and score null.  Without target documents the target model is the smoothing
     alone.  Rows with null keys or repeated rows are scored like others.  Counts are
-    taken over all documents.  Other columns are ignored.
+    taken over all documents and all their words, told apart by 62-bit hashes.
+    Other columns are ignored.
     """
-    spark = documents.sparkSession
     texts = documents.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    ids = target.select(F.col(f"`{key}`").alias("id")).dropna().distinct()
-    known = vocabulary(texts.select("text"), size)
-    shared = spark.sparkContext.broadcast(known)
-    background = loss(pair_counts(texts.select("text"), shared, len(known)))
-    good = loss(pair_counts(texts.join(ids.hint("merge"), "id", "left_semi").select("text"), shared, len(known)))
-    with np.errstate(invalid="ignore"):
-        difference = np.nan_to_num(good - background, nan=0.0, posinf=0.0, neginf=0.0).astype(np.float32).ravel()
-    table = spark.sparkContext.broadcast(difference)
     id_type = texts.schema["id"].dataType.simpleString()
-    scored = texts.mapInArrow(_scorer(shared, table), f"id {id_type}, n_words long, score double")
+    ids = target.select(F.col(f"`{key}`").alias("id")).dropna().distinct().withColumn("good", F.lit(True))
+    flagged = texts.join(ids.hint("merge"), "id", "left").select("id", "text", "good")
+    schema = f"block long, ids array<{id_type}>, texts array<string>, good array<boolean>, n long, n_good long"
+    blocks = stored(flagged.mapInArrow(_blocks, schema), "blocks")
+    total, total_good = (int(x or 0) for x in blocks.agg(F.sum("n"), F.sum("n_good")).first())
+    bits = max(PART_BITS, (total // PART_TOKENS).bit_length())
+    sent = blocks.select("block", "texts", "good").mapInArrow(_sent(bits), "block long, part long, keys binary, n binary, n_good binary")
+    sums = stored(sent.groupBy("part").applyInArrow(_summed, "block long, part long, n binary, n_good binary, words long"), "sums")
+    words = int(sums.agg(F.sum("words")).first()[0] or 0)
+    back = sums.select("block", "part", "n", "n_good").groupBy("block")
+    scored = blocks.select("block", "ids", "texts").groupBy("block").cogroup(back).applyInArrow(
+        _scored(total, total_good, words), f"id {id_type}, n_words long, score double"
+    )
     return scored.withColumnRenamed("id", key)

@@ -271,6 +271,26 @@ def test_losses_are_probabilities_over_one_vocabulary():
     assert np.allclose(p[:, 1:].sum(axis=1), 1)
 
 
+def test_every_word_of_the_corpus_is_in_the_models(llm):
+    import numpy as np
+
+    rows = [(i, prose(700 + i, 150, 3000)) for i in range(60)] + [(60, None), (None, "w1x once")]
+    good = set(range(0, 60, 3))
+    words = {w: i for i, w in enumerate(sorted({w for _, t in rows for w in (t or "").split()}), 1)}
+    assert len(words) > 2500
+    tables = np.zeros((2, len(words) + 1, len(words) + 1))
+    cells = []
+    for i, t in rows:
+        ids = [words[w] for w in (t or "").split()]
+        cells.append(([0, *ids[:-1]], ids))
+        for which in range(2 if i in good else 1):
+            np.add.at(tables[which], cells[-1], 1)
+    background, target = crossentropy.loss(tables[0]), crossentropy.loss(tables[1])
+    found = {r.doc_id: r.score for r in crossentropy.score_documents(llm.createDataFrame(rows, "doc_id long, text string"), llm.createDataFrame([(i,) for i in good], "doc_id long")).collect()}
+    for (i, _), cell in zip(rows, cells, strict=True):
+        assert found[i] is None if not cell[1] else abs(found[i] - (target[cell] - background[cell]).mean()) < 1e-9
+
+
 def test_scores_of_odd_rows(llm, odd, nothing):
     target = odd.select("doc_id").filter("doc_id = 4")
     assert crossentropy.score_documents(odd, target).count() == len(ODD)
