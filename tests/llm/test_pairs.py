@@ -235,6 +235,30 @@ def test_chain_is_the_best_one():
     assert [tree.get(n)[1] for n in (1, 2, 4, 6, 7)] == [-1, 1, 1, 1, 6]
 
 
+def test_chain_skips_what_is_too_far_behind():
+    far, near = (0, 0, 500), [(570, 570, 17), (590, 591, 17), (610, 612, 17)]
+    assert sorted(passages.chain([far, *near])) == [[far], near]
+
+
+def test_best_chain_equals_brute_force():
+    draw = random.Random(8)
+    for _ in range(300):
+        parts = sorted({(draw.randrange(300), draw.randrange(300), draw.choice([8, 9, 17, 60])) for _ in range(draw.randrange(2, 25))})
+        score = []
+        for x, y, n in parts:
+            gains = [0.0]
+            for (u, v, m), own in zip(parts, score, strict=False):
+                if -4 <= (a := x - u - m) <= 64 and -4 <= (b := y - v - m) <= 64:
+                    gains.append(min(own - (a + b) / 2, own))
+            score.append(n + max(gains))
+        links = passages.chain(parts)[0]
+        total = 0.0
+        for before, (x, y, n) in zip([None, *links], links, strict=False):
+            gap = 0 if before is None else max(x + y - sum(before[:2]) - 2 * before[2], 0) / 2
+            total += n - gap
+        assert total == max(score)
+
+
 def test_alignment_extends_and_fills_gaps():
     draw = np.random.default_rng(6)
     common = draw.integers(0, 1 << 30, 80).astype(np.uint32)
