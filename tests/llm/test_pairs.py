@@ -300,6 +300,23 @@ def test_passages_of_fifty_words_are_found(llm, repeated):
             assert " ".join(words(prose(900, 55))) in " ".join(w) and r.end_word - r.start_word <= 60
 
 
+def test_exact_passages_whose_parts_are_common(llm):
+    # Each pair shares 60 words in full; many others hold only the first or the last 30 of them.
+    rows, pairs = [], {}
+    for g in range(6):
+        w = prose(6000 + g, 60).split()
+        for j in range(2):
+            key = 1000 + 2 * g + j
+            rows.append((key, f"{prose(6100 + key, 70)} {' '.join(w)} {prose(6200 + key, 70)}"))
+            pairs[key] = 70
+        for j in range(40):
+            part = w[:30] if j % 2 else w[30:]
+            rows.append((2000 + 100 * g + j, f"{prose(9000 + 100 * g + j, 60)} {' '.join(part)} {prose(8000 + 100 * g + j, 60)}"))
+    found = passages.find_passages(llm.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == set(pairs)
+    assert all(r.start_word <= 70 and r.end_word >= 130 and r.other == r.doc_id ^ 1 for r in found)
+
+
 def test_passages_of_odd_rows(odd, nothing):
     assert {r.doc_id for r in passages.find_passages(odd).collect()} == {None, 4}
     assert passages.find_passages(nothing).count() == 0
