@@ -215,6 +215,21 @@ def test_every_fingerprint_within_the_radius_is_met(llm):
     assert left.join(right, ["i", "v"]).select("i").distinct().count() == 300
 
 
+def test_leak_beyond_the_radius_is_found(llm):
+    from pyspark.sql import functions as F
+
+    short = [f"w{i:03d}" for i in range(39)]
+    item, window = [*short, "a" * 60], [*short, "b" * 60]
+    prints = llm.createDataFrame([(item, window)], "a array<string>, b array<string>").select(
+        F.bit_count(decontaminate.simhash(F.col("a")).bitwiseXOR(decontaminate.simhash(F.col("b")))).alias("bits")
+    )
+    assert prints.first().bits > decontaminate.RADIUS and leak_similarity(window, item) >= 0.75
+    frame = llm.createDataFrame([(1, f"{prose(1, 50)} {' '.join(window)} {prose(2, 50)}"), (2, prose(3, 90))], "doc_id long, text string")
+    benchmark = llm.createDataFrame([(None, " ".join(item))], "item_id long, text string")
+    assert [r.similarity for r in decontaminate.find_leaks(frame, benchmark).collect()] == [leak_similarity(window, item)]
+    assert [r.doc_id for r in decontaminate.decontaminate(frame, benchmark).collect()] == [2]
+
+
 def test_leaks_of_odd_rows(llm, odd, nothing):
     benchmark = llm.createDataFrame([(1, prose(3, 60))], "item_id long, text string")
     assert [r.doc_id for r in odd.join(decontaminate.decontaminate(odd, benchmark).select("doc_id"), "doc_id", "left_anti").collect() if r.doc_id] == [9]
