@@ -8,7 +8,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import CLASHING, ODD, documents, prose
+from corpora import CLASHING, ODD, documents, prose
 
 from mercato.llm import decontaminate, graph, jaccard, passages
 from mercato.llm.vectors import Texts

@@ -8,7 +8,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import ODD, prose
+from corpora import ODD, prose
 from pyspark.sql import functions as F
 
 from mercato.llm import chat, crossentropy, packing, pii, rules, tokens, urls
