@@ -1,15 +1,16 @@
 from __future__ import annotations
 
-import datetime as dt
 import os
 import sys
-from decimal import Decimal
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from shop_data import ITEM_SCHEMA, ORDER_SCHEMA, PAYMENT_SCHEMA, at, money  # noqa: E402
 
 from mercato.session import configure  # noqa: E402
 
@@ -30,23 +31,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def at(text: str | None) -> dt.datetime | None:
-    return None if text is None else dt.datetime.fromisoformat(text)
-
-
-def money(value: str) -> Decimal:
-    return Decimal(value)
-
-
-ORDER_SCHEMA = """order_id STRING, customer_id STRING, order_status STRING, order_purchase_timestamp TIMESTAMP_NTZ,
-    order_delivered_carrier_date TIMESTAMP_NTZ, order_delivered_customer_date TIMESTAMP_NTZ,
-    order_estimated_delivery_date TIMESTAMP_NTZ"""
-ITEM_SCHEMA = """order_id STRING, order_item_id INT, product_id STRING, seller_id STRING, price DECIMAL(10,2),
-    freight_value DECIMAL(10,2)"""
-PAYMENT_SCHEMA = """order_id STRING, payment_sequential INT, payment_type STRING, payment_installments INT,
-    payment_value DECIMAL(10,2)"""
-
-
 @pytest.fixture(scope="session")
 def shop(spark):
     """A hand-made shop whose rows sit on the edges of the rules."""

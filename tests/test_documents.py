@@ -2,8 +2,8 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from shop_data import at
 
-from conftest import at
 from mercato.operators import quality
 from mercato.plans import documents
 from mercato.sources import io

@@ -3,8 +3,8 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from shop_data import at
 
-from conftest import at
 from mercato.operators import layout
 from mercato.session import new_table_path, shared_folder
 from mercato.sources import io

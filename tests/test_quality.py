@@ -1,8 +1,8 @@
 from decimal import Decimal
 
 import pytest
+from shop_data import at
 
-from conftest import at
 from mercato.operators import filters, quality
 from mercato.sources.schemas import PAYMENT_TYPES, STATE_PATTERN, ZIP_PATTERN
 

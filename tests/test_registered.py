@@ -47,7 +47,8 @@ def test_declared_columns_match_the_files(spark):
         assert [(f.name, f.dataType) for f in found] == [(f.name, f.dataType) for f in wanted], name
 
 
-def test_everything_else_works_without_the_optional_part(tmp_path):
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_everything_else_works_without_the_optional_part(tmp_path, pipeline):
     import shutil
     import subprocess
     import sys
@@ -55,5 +56,7 @@ def test_everything_else_works_without_the_optional_part(tmp_path):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     shutil.copytree(f"{root}/mercato", tmp_path / "mercato", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    if pipeline and os.path.exists(f"{root}/corpus_pipeline.py"):
+        shutil.copy(f"{root}/corpus_pipeline.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and 'pipeline' not in q and not any(n.startswith('op') and n[2].isdigit() for n in q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=120, env=os.environ | {"PYTHONPATH": str(tmp_path)})
