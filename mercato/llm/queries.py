@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import chat, crossentropy, decontaminate, jaccard, packing, passages, pii, rules, tokens, urls
+from mercato.llm import chat, crossentropy, decontaminate, jaccard, negatives, packing, passages, pii, repair, rules, tokens, topk, urls
 from mercato.llm.tables import ship_package, stored, text_key
 from mercato.session import configure
 
@@ -179,3 +179,40 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
 def cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
     good = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
     return crossentropy.score_documents(table(spark, folder, "documents"), good)
+
+
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+_WHOLE = "list_transform(embedding, lambda x: floor({} * CAST(x AS DOUBLE)))"
+_SCORE = "CAST(list_dot_product(a.v, b.v) AS BIGINT)"
+
+_TOPK_SQL = f"""WITH e AS (SELECT row_number() OVER () AS r, vec_id, {_WHOLE.format(1024)} AS v FROM embeddings WHERE {_FINITE}),
+    scored AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, {_SCORE} AS score FROM e a JOIN e b ON a.r <> b.r WHERE a.vec_id % 100 = 0)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 10"""
+
+
+@query("op11_topk_search", _TOPK_SQL)
+def topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector with all others."""
+    return topk.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+_NEGATIVES_SQL = f"""WITH e AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l, {_WHOLE.format(256)} AS v
+        FROM embeddings WHERE label IS NOT NULL AND {_FINITE}),
+    scored AS (SELECT a.r AS ar, a.vec_id AS anchor_id, b.r, b.vec_id, a.l = b.l AS same, {_SCORE} AS score FROM e a JOIN e b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+    p AS (SELECT ar, r, vec_id AS positive_id, score AS positive_score FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id NULLS LAST) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.ar, p.r ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank,
+        vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN scored s ON p.ar = s.ar AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score QUALIFY rank <= 10"""
+
+
+@query("op12_hard_negatives", _NEGATIVES_SQL)
+def hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh label is moved by one first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, scale=256, label=moved)
+
+
+@query("op13_conversation_repair")
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, folder, "conversations")))
