@@ -291,3 +291,69 @@ def _(m):
     bought = m.items.select("order_id", "product_id").distinct()
     product_reviews = m.reviews.select("order_id", "review_id", "review_score").join(bought, "order_id").drop("order_id")
     return documents.catalog_with_reviews(m.catalog, product_reviews)
+
+
+def _product_reviews(m):
+    bought = m.items.select("order_id", "product_id").distinct()
+    return m.reviews.select("order_id", "review_id", "review_score").join(bought, "order_id").drop("order_id")
+
+
+EMBEDDED = 4  # fewer than many products have offers here
+
+
+@check(
+    "catalog_embedded_sellers",
+    "s_catalog s_offers",
+    f"""SELECT _id, name, seller_count, place, seller_id, seller_name, offer_price, stock, shipping_cost
+    FROM (SELECT c._id, c.name, c.seller_count, o.seller_id, o.seller_name, o.price AS offer_price, o.stock, o.shipping_cost,
+            CAST(row_number() OVER (PARTITION BY c._id ORDER BY o.price NULLS LAST, o.seller_id) AS INTEGER) AS place
+        FROM s_catalog c JOIN s_offers o ON c._id = o.product_id) WHERE place <= {EMBEDDED}""",
+)
+def _(m):
+    documented = documents.embed_offers(m.catalog, m.offers, EMBEDDED)
+    sellers = documented.select("_id", "name", "seller_count", F.posexplode("sellers").alias("at", "s"))
+    return sellers.select("_id", "name", "seller_count", (F.col("at") + 1).alias("place"), "s.seller_id", "s.seller_name", F.col("s.price").alias("offer_price"), "s.stock", "s.shipping_cost")
+
+
+@check(
+    "catalog_embedded_counts",
+    "s_catalog",
+    f"""SELECT _id, CAST(least(seller_count, {EMBEDDED}) AS INTEGER) AS embedded, seller_count - least(seller_count, {EMBEDDED}) AS referenced
+    FROM s_catalog""",
+)
+def _(m):
+    built = documents.embed_offers(m.catalog, m.offers, EMBEDDED)
+    rest = documents.referenced_offers(m.offers, EMBEDDED).groupBy(F.col("product_id").alias("_id")).agg(F.count("*").alias("referenced"))
+    return built.join(rest, "_id", "left").select("_id", F.size("sellers").alias("embedded"), F.coalesce("referenced", F.lit(0)).alias("referenced"))
+
+
+PAGE = 3
+
+
+@check(
+    "catalog_review_pages",
+    "s_catalog s_items s_reviews",
+    f"""WITH r AS (SELECT product_id, review_id, review_score FROM (SELECT DISTINCT order_id, product_id FROM s_items) JOIN s_reviews USING (order_id)),
+    n AS (SELECT c._id, c.name, count(review_id) AS reviews, coalesce(sum(review_score), 0) AS score_sum FROM s_catalog c LEFT JOIN r ON c._id = r.product_id GROUP BY ALL),
+    p AS (SELECT *, unnest(range(1, greatest(1, (reviews + {PAGE - 1}) // {PAGE}) + 1)) AS page FROM n)
+    SELECT _id, name, CAST(page AS BIGINT) AS page, CAST(least({PAGE}, reviews - {PAGE} * (page - 1)) AS INTEGER) AS on_page,
+        CAST(reviews AS BIGINT) AS reviews, CAST(score_sum AS BIGINT) AS score_sum FROM p""",
+)
+def _(m):
+    """Which review is on which page is a matter of hashes, so the products' totals over their pages are compared."""
+    pages = documents.catalog_review_pages(m.catalog, _product_reviews(m), page_rows=PAGE)
+    scores = F.aggregate("reviews", F.lit(0).cast("long"), lambda a, r: a + r["review_score"])
+    sized = pages.select("_id", "name", "page", F.size("reviews").alias("on_page"), scores.alias("scores"))
+    totals = sized.groupBy("_id").agg(F.sum("on_page").alias("reviews"), F.sum("scores").alias("score_sum"))
+    return sized.drop("scores").join(totals, "_id")
+
+
+@check(
+    "catalog_review_page_rows",
+    "s_catalog s_items s_reviews",
+    """SELECT product_id AS _id, review_id, review_score FROM (SELECT DISTINCT order_id, product_id FROM s_items)
+    JOIN s_reviews USING (order_id) WHERE product_id IN (SELECT _id FROM s_catalog)""",
+)
+def _(m):
+    pages = documents.catalog_review_pages(m.catalog, _product_reviews(m), page_rows=PAGE)
+    return pages.select("_id", F.inline("reviews"))

@@ -182,6 +182,30 @@ def _(m):
     return reduce(DataFrame.unionByName, parts)
 
 
+def _correlated(table: str, column: str, value: str) -> str:
+    return f"""SELECT '{table}' AS "table", '{column}' AS "column", row_count, correlation, CASE WHEN abs(c) > 0.9 THEN 'excellent'
+            WHEN abs(c) > 0.7 THEN 'good' WHEN abs(c) > 0.5 THEN 'acceptable' ELSE 'not recommended' END AS suitability
+    FROM (SELECT count(v) AS row_count, corr(v, pos) AS c, {half_up("corr(v, pos)", 6)} AS correlation
+        FROM (SELECT {value} AS v, pos FROM (SELECT {column}, row_number() OVER () AS pos FROM {table})))"""
+
+
+_MEAN_RANK = "rank() OVER (ORDER BY {0}) + (count(*) OVER (PARTITION BY {0}) - 1) / 2.0"
+CORRELATED = [
+    ("orders", "o_orderkey", "o_orderkey"), ("orders", "o_orderdate", "epoch_us(o_orderdate)"), ("orders", "o_totalprice", "o_totalprice"),
+    ("orders", "o_orderpriority", _MEAN_RANK.format("o_orderpriority")), ("lineitem", "l_orderkey", "l_orderkey"),
+    ("customer", "c_name", _MEAN_RANK.format("c_name")), ("documents", "text", _MEAN_RANK.format("text")), ("events", "ts", "epoch_us(ts)"),
+]
+
+
+@check("physical_correlation", "", " UNION ALL ".join(_correlated(*c) for c in CORRELATED))
+def _(m):
+    parts = []
+    for name, column, _ in CORRELATED:
+        found = layout.physical_correlation(m.table(name), column).withColumn("correlation", round_half_up(F.col("correlation"), 6))
+        parts.append(found.select(F.lit(name).alias("table"), F.lit(column).alias("column"), "row_count", "correlation", "suitability"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _sorted_table(column: str) -> str:
     return f"""SELECT count(*) AS row_count, CAST(min({column}) AS VARCHAR) AS low, CAST(max({column}) AS VARCHAR) AS high,
         CAST(1.0 AS DOUBLE) AS lowest_share, TRUE AS several_files FROM s_orders"""

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from mercato.functions.dates import as_date, as_timestamp, month_label, month_start
 from mercato.functions.jsonq import has_key, int_at, parsed
+from mercato.operators.comoments import co_moments, correlation, merge_states
+from mercato.operators.ranks import counts_before, order_number
 
 MONTH = "order_month"
 DEFAULT = "default"
@@ -265,6 +267,29 @@ def clustering_report(table: DataFrame, column: str) -> DataFrame:
     )
 
 
+def physical_correlation(table: DataFrame, column: str) -> DataFrame:
+    """Correlation of row position and value in each file, and what it says about skipping ranges.
+
+    ``table`` must come straight from a file scan.  Numbers, dates and times count by
+    their value, texts by their exact mean rank in the file.  NULL values are left out;
+    a file in which the column does not vary has no correlation.  Runs of RUN_ROWS
+    rows give one state each, and a file's states merge, so no task holds a file.
+    """
+    kind = table.select(column).schema[0].dataType
+    rows = table.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("pos"), F.col(column).alias("v"))
+    value = order_number("v", kind)
+    if isinstance(kind, T.StringType):
+        ranks = counts_before(rows, ["file"], "v").withColumn("y", F.col("before") + (F.col("n") - 1) / 2)
+        rows, value = rows.join(ranks.select("file", "v", "y"), ["file", "v"]), F.col("y")
+    runs = co_moments(rows.withColumn("run", F.floor(F.col("pos") / RUN_ROWS)), ["file", "run"], F.col("pos"), value)
+    found = merge_states(runs, ["file"], "run").select("file", F.col("state.n").alias("row_count"), correlation(F.col("state")).alias("correlation"))
+    size = F.abs("correlation")
+    return found.withColumn(
+        "suitability",
+        F.when(size > 0.9, "excellent").when(size > 0.7, "good").when(size > 0.5, "acceptable").otherwise("not recommended"),
+    )
+
+
 def clustered_write(df: DataFrame, path: str, column: str, files: int | None = None) -> None:
     """Write the table range-partitioned and sorted by a column.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.jsonq import parsed
@@ -13,6 +13,11 @@ from mercato.functions.numeric import mean, round_half_up
 from mercato.functions.ordering import largest_first, top_k
 from mercato.functions.text import mentions, text_score
 from mercato.operators.profile import with_share
+from mercato.operators.ranks import running_numbers
+
+#: Offers that a product document embeds, and reviews on a page of a product, at most.
+EMBEDDED_OFFERS = 10
+PAGE_REVIEWS = 50
 
 # -- building documents -----------------------------------------------------
 
@@ -54,14 +59,41 @@ def product_offers(items: DataFrame, sellers: DataFrame, stock: DataFrame) -> Da
     )
 
 
+def _placed_offers(offers: DataFrame) -> DataFrame:
+    # The filter on the place lets every map task keep its own first rows only, so a product with very many offers stays small.
+    best = Window.partitionBy("product_id").orderBy(F.col("price").asc_nulls_last(), "seller_id")
+    return offers.withColumn("_place", F.row_number().over(best))
+
+
+def embed_offers(catalog: DataFrame, offers: DataFrame, k: int = EMBEDDED_OFFERS) -> DataFrame:
+    """Documents with ``sellers``, the ``k`` best offers of each by price and then seller, as an array in that order.
+
+    Any product has at most ``k`` of them, so the document has one shape at any size;
+    ``seller_count`` tells how many there are and :func:`referenced_offers` has the rest.
+    A product without offers has an empty array.
+    """
+    seller = F.struct("seller_id", "seller_name", F.col("price").cast("double").alias("price"), "stock", F.col("shipping_cost").cast("double").alias("shipping_cost"))
+    best = _placed_offers(offers).where(F.col("_place") <= k).groupBy("product_id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("_place", seller.alias("s")))), lambda o: o["s"]).alias("sellers")
+    )
+    joined = catalog.join(best.withColumnRenamed("product_id", "_id"), "_id", "left")
+    return joined.withColumn("sellers", F.coalesce("sellers", F.array().cast(best.schema["sellers"].dataType)))
+
+
+def referenced_offers(offers: DataFrame, k: int = EMBEDDED_OFFERS) -> DataFrame:
+    """The offers that :func:`embed_offers` leaves in the table of offers."""
+    return _placed_offers(offers).where(F.col("_place") > k).drop("_place")
+
+
 def build_product_documents(
-    products: DataFrame, translation: DataFrame, items: DataFrame, orders: DataFrame, reviews: DataFrame
+    products: DataFrame, translation: DataFrame, items: DataFrame, orders: DataFrame, reviews: DataFrame, offers: DataFrame | None = None
 ) -> DataFrame:
     """Fold the relational tables into one nested document per product.
 
     Metrics are precomputed; reviews and offers are referenced.  An offer list grows
     without bound, so offers are a table of their own (:func:`product_offers`) keyed
     by ``_id``, and the document carries how many there are: one shape at any size.
+    With ``offers`` the best of them are embedded too (:func:`embed_offers`).
     """
     base = (
         products.join(translation, "product_category_name", "left")
@@ -69,7 +101,7 @@ def build_product_documents(
         .join(_product_ratings(items, reviews), "product_id", "left")
         .join(_seller_counts(items), "product_id", "left")
     )
-    return base.select(
+    documents = base.select(
         F.col("product_id").alias("_id"),
         F.col("product_name").alias("name"),
         F.struct(
@@ -89,6 +121,7 @@ def build_product_documents(
         F.coalesce("seller_count", F.lit(0)).alias("seller_count"),
         "stock_status",
     )
+    return documents if offers is None else embed_offers(documents, offers)
 
 
 def catalog_with_reviews(catalog: DataFrame, product_reviews: DataFrame) -> DataFrame:
@@ -106,6 +139,27 @@ def catalog_with_reviews(catalog: DataFrame, product_reviews: DataFrame) -> Data
     return reviewed.unionByName(bare, allowMissingColumns=True)
 
 
+def catalog_review_pages(catalog: DataFrame, product_reviews: DataFrame, key: str = "review_id", page_rows: int = PAGE_REVIEWS) -> DataFrame:
+    """Each product with its reviews looked up as arrays, ``page_rows`` at most in one: a row per product and ``page``.
+
+    Pages count from 1; all but a product's last one are full, and a product without
+    reviews has one empty page.  ``key`` tells the reviews of a product apart.  Which page
+    a review is on follows from its key and the other keys alone (:func:`running_numbers`);
+    within a page reviews come by key.
+    """
+    numbered = running_numbers(product_reviews, ["product_id"], [key])
+    columns = [c for c in product_reviews.columns if c != "product_id"]
+    review = F.struct(key, *[c for c in columns if c != key])
+    pages = numbered.withColumn("page", F.floor((F.col("number") - 1) / page_rows) + 1).groupBy("product_id", "page").agg(
+        F.sort_array(F.collect_list(review)).alias("reviews")
+    )
+    empty = F.array().cast(pages.schema["reviews"].dataType)
+    products = catalog.select("_id", "name", F.col("category.name_en").alias("category"))
+    # Pages of one product are spread over tasks; a product's row goes to each of them.
+    paged = products.join(pages.withColumnRenamed("product_id", "_id"), "_id", "left")
+    return paged.select("_id", "name", "category", F.coalesce("page", F.lit(1)).alias("page"), F.coalesce("reviews", empty).alias("reviews"))
+
+
 # -- catalog queries --------------------------------------------------------
 
 RATING = "computed_metrics.average_rating"

@@ -212,3 +212,41 @@ def test_search_filter_agrees_with_the_score(spark):
     found = df.select("_id", mentions({"t": 1.0}, "excelente produto").alias("m"), text_score({"t": 1.0}, "excelente produto").alias("s")).collect()
     assert all(r["m"] == (r["s"] > 0) for r in found)
     assert [r["_id"] for r in found if r["m"]] == [0, 1, 2, 5, 8]
+
+
+def test_documents_embed_the_best_offers_only(spark, parts):
+    products, translation, _, orders, reviews = parts
+    sellers = spark.range(3000).select(F.concat(F.lit("s"), "id").alias("seller_id"), F.concat(F.lit("n"), "id").alias("seller_name"))
+    items = sellers.select(
+        F.lit("a00").alias("order_id"), F.lit(1).alias("order_item_id"), F.lit("p1").alias("product_id"), "seller_id",
+        (F.length("seller_id") * 10).alias("price"), F.lit(0).alias("freight_value"),
+    )
+    offers = documents.product_offers(items, sellers, items.select("product_id", "seller_id", F.lit(5).alias("stock")))
+    built = documents.build_product_documents(products, translation, items, orders, reviews, offers).drop("specifications")
+    found = {r["_id"]: r for r in rows(built)}
+    assert [s["seller_id"] for s in found["p1"]["sellers"]] == [f"s{i}" for i in range(10)]
+    assert found["p1"]["sellers"][0] == {"seller_id": "s0", "seller_name": "n0", "price": 20.0, "stock": 5, "shipping_cost": 0.0}
+    assert found["p1"]["seller_count"] == 3000 and documents.referenced_offers(offers).count() == 2990
+    assert all(found[p]["sellers"] == [] for p in ("p2", "p3", "p4", "p5"))
+
+
+def test_map_tasks_keep_their_best_offers_only(parts, offers, capsys):
+    documents.embed_offers(documents.build_product_documents(*parts), offers).explain()
+    limits = [line for line in capsys.readouterr().out.splitlines() if "WindowGroupLimit" in line]
+    assert len(limits) == 2 and "Final" in limits[0] and "Partial" in limits[1]
+
+
+def test_review_pages_of_a_hot_product(spark, parts):
+    catalog = documents.build_product_documents(*parts)
+    many = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "p1").otherwise(F.concat(F.lit("q"), (F.col("id") % 500).cast("string"))).alias("product_id"),
+        F.concat(F.lit("v"), "id").alias("review_id"), F.lit(4).alias("review_score"),
+    )
+    pages = documents.catalog_review_pages(catalog, many, page_rows=7)
+    found = rows(pages)
+    hot = sorted((r for r in found if r["_id"] == "p1"), key=lambda r: r["page"])
+    assert [r["page"] for r in hot] == list(range(1, 287)) and [len(r["reviews"]) for r in hot] == [7] * 285 + [5]
+    assert sorted(v["review_id"] for r in hot for v in r["reviews"]) == sorted(f"v{i}" for i in range(0, 6000, 3))
+    assert sorted((r["_id"], r["page"], r["reviews"]) for r in found if r["_id"] != "p1") == [(p, 1, []) for p in ("p2", "p3", "p4", "p5")]
+    again = {(r["_id"], r["page"], v["review_id"]) for r in rows(documents.catalog_review_pages(catalog, many.repartition(5), page_rows=7)) for v in r["reviews"]}
+    assert again == {(r["_id"], r["page"], v["review_id"]) for r in found for v in r["reviews"]}
