@@ -16,7 +16,7 @@ from mercato.checks.registry import check
 from mercato.checks.sql import dbl, half_up
 from mercato.functions import jsonq
 from mercato.functions.numeric import round_half_up
-from mercato.operators import layout, quality
+from mercato.operators import batches, layout, quality
 from mercato.plans.retail import status_counts
 from mercato.session import new_table_path
 from mercato.sources.io import export_csv
@@ -301,3 +301,60 @@ def _(m):
 def _(m):
     keys = m.products.select(F.explode(jsonq.keys_of(F.col("product_attributes"))).alias("key"))
     return keys.groupBy("key").agg(F.count("*").alias("n"))
+
+
+HALF = "order_id % 2 = 0"
+
+
+def _batched(m) -> str:
+    """The orders in two batches, the second of which is loaded twice."""
+    path = new_table_path(m.spark, "orders_batches")
+    batches.append_batch(m.orders.where(HALF), path, "even", first=FIRST, last=LAST)
+    for _ in range(2):
+        batches.append_batch(m.orders.where(f"NOT {HALF}"), path, "odd", first=FIRST, last=LAST)
+    return path
+
+
+@check(
+    "append_batch",
+    "s_orders",
+    f"SELECT order_month, count(*) AS row_count, count(DISTINCT order_id) AS orders FROM {MONTHLY} GROUP BY 1",
+)
+def _(m):
+    rows = batches.read_batches(m.spark, _batched(m), m.orders.schema)
+    return rows.groupBy(layout.MONTH).agg(F.count("*").alias("row_count"), F.count_distinct("order_id").alias("orders"))
+
+
+@check(
+    "archive_old",
+    "s_orders",
+    f"""SELECT order_month, row_count, CASE WHEN order_month <= '1998_08' THEN 'partition ' || order_month || ' archived: ' || row_count || ' rows'
+            ELSE 'partition ' || order_month || ' is too recent to archive' END AS message
+    FROM (SELECT order_month, count(*) AS row_count FROM {MONTHLY} WHERE order_month <> 'default' GROUP BY 1)""",
+)
+def _(m):
+    return batches.archive_old(m.spark, _batched(m), new_table_path(m.spark, "orders_old"), m.orders.schema, AS_OF)
+
+
+@check(
+    "archive_old_tiers",
+    "s_orders",
+    f"""SELECT CASE WHEN order_month <> 'default' AND order_month <= '1998_08' THEN 'archive' ELSE 'live' END AS tier, order_month, count(*) AS row_count,
+        CAST(sum(order_id) AS BIGINT) AS id_sum FROM {MONTHLY} GROUP BY ALL""",
+)
+def _(m):
+    """What both tiers hold after months were moved in two runs."""
+    path, archive = _batched(m), new_table_path(m.spark, "orders_old")
+    for day in ("1999-08-02", AS_OF):
+        batches.archive_old(m.spark, path, archive, m.orders.schema, day)
+    tiers = [batches.read_batches(m.spark, path, m.orders.schema, tier=t).withColumn("tier", F.lit(t)) for t in (batches.LIVE, batches.ARCHIVE)]
+    return tiers[0].unionByName(tiers[1]).groupBy("tier", layout.MONTH).agg(F.count("*").alias("row_count"), F.sum("order_id").alias("id_sum"))
+
+
+@check(
+    "batch_report",
+    "s_orders",
+    f"""SELECT order_month, 'live' AS tier, count(DISTINCT {HALF}) AS batches, count(*) AS row_count FROM {MONTHLY} GROUP BY 1""",
+)
+def _(m):
+    return batches.batch_report(m.spark, _batched(m))

@@ -1,0 +1,118 @@
+"""Appends that can be repeated and archiving as a move, with a failure at every step."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+from shop_data import ORDER_SCHEMA
+
+from mercato.operators import batches
+
+AS_OF, MIN_AGE = "2018-06-15", 12
+
+
+def ids(spark, path, **options):
+    return sorted(r["order_id"] for r in batches.read_batches(spark, path, ORDER_SCHEMA, **options).collect())
+
+
+def files(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_ino for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+class Stop(Exception):
+    pass
+
+
+def stop(*_, **__):
+    raise Stop
+
+
+@pytest.fixture
+def table(spark, shop, tmp_path):
+    path = str(tmp_path / "orders")
+    half = F.substring("order_id", 1, 1) == "a"
+    assert batches.append_batch(shop.orders.where(half), path, "first") == 22
+    assert batches.append_batch(shop.orders.where(~half), path, "second") == shop.orders.count() - 22
+    return path
+
+
+def test_a_batch_comes_in_once(spark, shop, table):
+    everything = sorted(r["order_id"] for r in shop.orders.collect())
+    assert ids(spark, table) == everything
+    before = files(table)
+    assert batches.append_batch(shop.orders, table, "first") == 0
+    assert ids(spark, table) == everything and files(table) == before
+    assert batches.read_batches(spark, table, ORDER_SCHEMA).columns == [*shop.orders.columns, "order_month"]
+
+
+def test_a_half_written_batch_is_invisible(spark, shop, tmp_path, monkeypatch):
+    path = str(tmp_path / "orders")
+    batches.append_batch(shop.orders.where("customer_id = 'c1'"), path, "one")
+    seen, commit = ids(spark, path), batches._commit
+    monkeypatch.setattr(batches, "_commit", stop)
+    with pytest.raises(Stop):
+        batches.append_batch(shop.orders.where("customer_id <> 'c1'"), path, "two")
+    assert ids(spark, path) == seen and os.path.exists(f"{path}/data/batch=two")
+    monkeypatch.setattr(batches, "_commit", commit)
+    # The repeated job has fewer rows: nothing of the failed attempt may stay.
+    assert batches.append_batch(shop.orders.where("customer_id = 'c2'"), path, "two") == 4
+    assert len(ids(spark, path)) == len(seen) + 4
+
+
+def test_a_commit_that_never_ended_does_not_count(spark, shop, table):
+    version, entries = batches.manifest(spark, table)
+    os.makedirs(f"{table}/manifest/version={version + 1}/_temporary/0")
+    assert batches.manifest(spark, table) == (version, entries)
+    batches.append_batch(shop.orders.limit(1), table, "third")
+    assert batches.manifest(spark, table)[0] == version + 1 and len(ids(spark, table)) == shop.orders.count() + 1
+
+
+def test_empty_batches_and_tables(spark, shop, tmp_path):
+    path = str(tmp_path / "orders")
+    assert ids(spark, path) == [] and batches.manifest(spark, path) == (0, []) and batches.unreferenced(spark, path).count() == 0
+    assert batches.append_batch(shop.orders.limit(0), path, "nothing") == 0 and ids(spark, path) == []
+    assert batches.append_batch(shop.orders.limit(0), path, "nothing") == 0 and batches.manifest(spark, path)[0] == 1
+    assert batches.archive_old(spark, path, path + "-old", ORDER_SCHEMA, AS_OF).count() == 0 and batches.batch_report(spark, path).count() == 0
+    with pytest.raises(ValueError, match="named"):
+        batches.append_batch(shop.orders, path, "a/b")
+
+
+def test_months_open_their_directories_alone(spark, table):
+    rows = batches.read_batches(spark, table, ORDER_SCHEMA, months=("2017_03", "2017_12"))
+    assert {f.split("/")[-2] for f in rows.inputFiles()} == {"order_month=2017_03"} and rows.count() == 2
+
+
+def test_archiving_touches_the_months_concerned(spark, table, tmp_path):
+    archive, before, all_ids = str(tmp_path / "old"), files(table), ids(spark, table)
+    said = {r["order_month"]: r["message"] for r in batches.archive_old(spark, table, archive, ORDER_SCHEMA, AS_OF, MIN_AGE).collect()}
+    assert said == {"2017_01": "partition 2017_01 archived: 22 rows", "2017_03": "partition 2017_03 archived: 2 rows", "2018_01": "partition 2018_01 is too recent to archive"}
+    # No live file was written, and the archive has files of the moved months only.
+    assert {f for f in files(table) if "/data/" in f} == {f for f in before if "/data/" in f}
+    assert {f.split("/")[-2] for f in files(archive)} == {"order_month=2017_01", "order_month=2017_03"}
+    live, old = ids(spark, table), ids(spark, table, tier=batches.ARCHIVE)
+    assert len(old) == 24 and sorted(live + old) == all_ids == ids(spark, table, tier=None)
+    assert {r["folder"].split("/")[-1] for r in batches.unreferenced(spark, table).collect()} == {"order_month=2017_01", "order_month=2017_03"}
+    again = batches.archive_old(spark, table, archive, ORDER_SCHEMA, AS_OF, MIN_AGE).collect()
+    assert [r["order_month"] for r in again] == ["2018_01"] and ids(spark, table) == live
+    # A batch that was moved still counts as loaded.
+    assert batches.append_batch(batches.read_batches(spark, table, ORDER_SCHEMA).drop("order_month"), table, "second") == 0
+
+
+@pytest.mark.parametrize("step", ["_read", "_write", "_written", "_commit"])
+def test_archiving_fails_as_a_whole_and_can_be_repeated(spark, table, tmp_path, monkeypatch, step):
+    archive, all_ids = str(tmp_path / "old"), ids(spark, table)
+    with monkeypatch.context() as failing:
+        failing.setattr(batches, step, stop)
+        with pytest.raises(Stop):
+            batches.archive_old(spark, table, archive, ORDER_SCHEMA, AS_OF, MIN_AGE)
+    assert ids(spark, table) == all_ids and ids(spark, table, tier=batches.ARCHIVE) == []
+    batches.archive_old(spark, table, archive, ORDER_SCHEMA, AS_OF, MIN_AGE)
+    assert len(ids(spark, table)) == len(all_ids) - 24 and len(ids(spark, table, tier=batches.ARCHIVE)) == 24
+
+
+def test_a_short_copy_moves_nothing(spark, table, tmp_path, monkeypatch):
+    write, all_ids = batches._write, ids(spark, table)
+    monkeypatch.setattr(batches, "_write", lambda rows, folder: write(rows.where("order_id <> 'a00'"), folder))
+    with pytest.raises(ValueError, match="month 2017_01 has 22 rows, but 21"):
+        batches.archive_old(spark, table, str(tmp_path / "old"), ORDER_SCHEMA, AS_OF, MIN_AGE)
+    assert ids(spark, table) == all_ids
