@@ -11,6 +11,7 @@ from mercato.checks.registry import check
 from mercato.checks.sql import dbl
 from mercato.operators import filters, quality
 from mercato.plans import reports
+from mercato.session import new_table_path
 from mercato.sources.schemas import (
     CATALOG_RULES,
     ORDER_STATUSES,
@@ -218,6 +219,76 @@ def _(m):
     return quality.violation_counts(_regex_reports(m) + _unique_reports(m))
 
 
+ORDERS_IN_ONE = _union(
+    _bad("orders", "order_status in set", "s_orders", "order_id", "order_status", "order_status NOT IN ('delivered', 'shipped')"),
+    _bad("orders", "order_approved_at not null", "s_orders", "order_id", "NULL", "order_approved_at IS NULL"),
+    _bad("orders", "order_estimated_delivery_date >= order_delivered_customer_date", "s_orders", "order_id",
+         "strftime(order_estimated_delivery_date, '%Y-%m-%d %H:%M:%S')", LATE),
+    """SELECT 'orders', 'customer_id,order_status unique', customer_id || '|' || order_status, CAST(count(*) AS VARCHAR) FROM s_orders
+    GROUP BY customer_id, order_status HAVING count(*) > 1""",
+    """SELECT 'orders', 'order_id foreign key', CAST(order_id AS VARCHAR), CAST(count(*) AS VARCHAR) FROM s_orders
+    WHERE order_id NOT IN (SELECT order_id FROM s_items) GROUP BY order_id""",
+)
+PRODUCTS_IN_ONE = _union(
+    _bad("products", "product_photos_qty min", "s_products", "product_id", "product_photos_qty", "product_photos_qty <= 0"),
+    _bad("products", "product_weight_g between", "s_products", "product_id", "product_weight_g", "product_weight_g NOT BETWEEN 5 AND 40"),
+    _bad("products", "product_name length", "s_products", "product_id", "length(product_name)", "length(product_name) NOT BETWEEN 1 AND 10"),
+    _bad("products", "product_attributes regex", "s_products", "product_id", "product_attributes", "NOT regexp_matches(product_attributes, 'warranty')"),
+    """SELECT 'products', 'product_category_name foreign key', product_category_name, CAST(count(*) AS VARCHAR) FROM s_products
+    WHERE product_category_name NOT IN (SELECT product_category_name FROM s_translation) GROUP BY product_category_name""",
+)
+
+
+def _checked_in_one(m) -> list[DataFrame]:
+    order, product = ["order_id"], ["product_id"]
+    orders = [
+        quality.one_of(order, "order_status", ["delivered", "shipped"]), quality.present(order, "order_approved_at"),
+        quality.in_order(order, "order_delivered_customer_date", "order_estimated_delivery_date"),
+        quality.unique(["customer_id", "order_status"]), quality.known("order_id", m.items, "order_id"),
+    ]
+    products = [
+        quality.at_least(product, "product_photos_qty", 0, strict=True), quality.between(product, "product_weight_g", 5, 40),
+        quality.long_between(product, "product_name", 1, 10), quality.matches(product, "product_attributes", "warranty"),
+        quality.known("product_category_name", m.translation, "product_category_name"),
+    ]
+    return [quality.check_rules(m.orders, "orders", orders), quality.check_rules(m.products, "products", products)]
+
+
+@check("check_rules", "s_orders s_items s_products s_translation", _union(ORDERS_IN_ONE, PRODUCTS_IN_ONE))
+def _(m):
+    """Five rules a table, rows and keys, one scan of each table."""
+    return _all(_checked_in_one(m))
+
+
+@check(
+    "check_rules_counts",
+    "s_orders s_items s_products s_translation",
+    f'SELECT "table", "rule", count(*) AS violations FROM ({ORDERS_IN_ONE} UNION ALL {PRODUCTS_IN_ONE}) GROUP BY ALL',
+)
+def _(m):
+    return quality.violation_counts(_checked_in_one(m))
+
+
+@check(
+    "observe_rules",
+    "s_customers",
+    f"""SELECT count(*) AS checked, count(*) FILTER (WHERE zip) AS bad_zips, count(*) FILTER (WHERE state) AS bad_states,
+        CAST(sum(CASE WHEN zip OR state THEN 1 ELSE 0 END) AS BIGINT) AS bad_rows
+    FROM (SELECT NOT regexp_matches(customer_zip_code_prefix, '{ZIP_PATTERN}') AS zip, NOT regexp_matches(customer_state, '^[A-M]') AS state FROM s_customers)""",
+)
+def _(m):
+    """Counts that came with the one write of the marked rows."""
+    key = ["customer_id"]
+    rules = [quality.matches(key, "customer_zip_code_prefix", ZIP_PATTERN), quality.matches(key, "customer_state", "^[A-M]")]
+    marked, counts = quality.observe_rules(m.customers, rules)
+    path = new_table_path(m.spark, "customers_marked")
+    marked.write.parquet(path)
+    found = counts.get
+    bad = m.spark.read.parquet(path).agg(F.count(F.when(F.size("_violations") > 0, 1)).alias("bad_rows"))
+    names = {"rows": "checked", "customer_zip_code_prefix regex": "bad_zips", "customer_state regex": "bad_states"}
+    return bad.select(*[F.lit(found[k]).cast("long").alias(v) for k, v in names.items()], "bad_rows")
+
+
 @check(
     "payment_reconciliation",
     "s_items s_payments",

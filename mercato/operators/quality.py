@@ -6,10 +6,10 @@ NULL, as in SQL.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -93,6 +93,130 @@ def rule_foreign_key(child: DataFrame, table: str, key: str, parent: DataFrame,
     return _report(used.join(known, key, "left_anti"), table, f"{key} foreign key", [key], F.col("_n"))
 
 
+# -- several rules in one pass ----------------------------------------------
+
+
+@dataclass(frozen=True)
+class Rule:
+    """One named rule of a table; the functions below build them.
+
+    A row rule has ``bad``, the condition of a violation.  A key rule has ``key`` columns
+    instead and either demands that they are unique or that they are in ``parent``.
+    """
+
+    name: str
+    keys: tuple[str, ...]
+    observed: Column | None = None
+    bad: Column | None = None
+    parent: DataFrame | None = field(default=None, compare=False)
+
+
+def _row_rule(name: str, keys: list[str], passes: Column, observed: Column) -> Rule:
+    return Rule(name, tuple(keys), observed, ~passes)
+
+
+def matches(keys: list[str], column: str, pattern: str) -> Rule:
+    """As :func:`rule_regex`."""
+    return _row_rule(f"{column} regex", keys, F.col(column).rlike(pattern), F.col(column))
+
+
+def at_least(keys: list[str], column: str, low: float, strict: bool = False) -> Rule:
+    """As :func:`rule_min`."""
+    return _row_rule(f"{column} min", keys, F.col(column) > low if strict else F.col(column) >= low, F.col(column))
+
+
+def between(keys: list[str], column: str, low: float, high: float) -> Rule:
+    """As :func:`rule_between`."""
+    return _row_rule(f"{column} between", keys, F.col(column).between(low, high), F.col(column))
+
+
+def one_of(keys: list[str], column: str, allowed: list[str]) -> Rule:
+    """As :func:`rule_in_set`."""
+    return _row_rule(f"{column} in set", keys, F.col(column).isin(list(allowed)), F.col(column))
+
+
+def present(keys: list[str], column: str) -> Rule:
+    """As :func:`rule_not_null`."""
+    return Rule(f"{column} not null", tuple(keys), F.lit(None), F.col(column).isNull())
+
+
+def long_between(keys: list[str], column: str, low: int | None = None, high: int | None = None) -> Rule:
+    """As :func:`rule_length`."""
+    length = F.char_length(F.col(column))
+    ends = [length >= low if low is not None else F.lit(True), length <= high if high is not None else F.lit(True)]
+    return _row_rule(f"{column} length", keys, ends[0] & ends[1], length)
+
+
+def in_order(keys: list[str], earlier: str, later: str) -> Rule:
+    """As :func:`rule_order`."""
+    return _row_rule(f"{later} >= {earlier}", keys, F.col(later) >= F.col(earlier), F.col(later))
+
+
+def unique(keys: list[str]) -> Rule:
+    """As :func:`rule_unique`."""
+    return Rule(f"{','.join(keys)} unique", tuple(keys))
+
+
+def known(key: str, parent: DataFrame, parent_key: str) -> Rule:
+    """As :func:`rule_foreign_key`."""
+    return Rule(f"{key} foreign key", (key,), parent=parent.select(F.col(parent_key).alias(key)))
+
+
+def check_rules(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
+    """The violations of all rules, row for row those of the single rule functions, from one scan of ``df``.
+
+    Each row turns into its violations of row rules and its keys for the key rules;
+    equal ones collapse before the one shuffle, so a hot key costs a row per task.  Keys
+    of unique rules that came once and keys that a parent has are dropped after it.
+    Each parent is read once.
+    """
+    numbered = list(enumerate(rules))
+    text = lambda keys: F.array(*[F.col(k).cast("string") for k in keys])
+    entry = lambda n, keys, observed: F.struct(F.lit(n).alias("no"), text(keys).alias("key"), observed.cast("string").alias("observed"))
+    entries = []
+    for n, rule in numbered:
+        if rule.bad is not None:
+            entries.append(F.when(rule.bad, entry(n, rule.keys, rule.observed)))
+        else:
+            there = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in rule.keys])
+            entries.append(F.when(there, entry(n, rule.keys, F.lit(None))))
+    found = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).groupBy("e").agg(F.count("*").alias("n")).select("e.*", "n")
+    foreign = [(n, rule) for n, rule in numbered if rule.parent is not None]
+    if foreign:
+        # Keys are compared as the child's type shows them.
+        kinds = dict(df.dtypes)
+        parents = [
+            rule.parent.where(F.col(rule.keys[0]).isNotNull())
+            .select(F.lit(n).alias("no"), F.array(F.col(rule.keys[0]).cast(kinds[rule.keys[0]]).cast("string")).alias("key")).distinct()
+            for n, rule in foreign
+        ]
+        found = found.join(reduce(DataFrame.unionAll, parents), ["no", "key"], "left_anti")
+    keyed = [n for n, rule in numbered if rule.bad is None]
+    once = [n for n, rule in numbered if rule.bad is None and rule.parent is None]
+    kept = found.where(~F.col("no").isin(once) | (F.col("n") > 1)) if once else found
+    by_key = F.col("no").isin(keyed) if keyed else F.lit(False)
+    copies = F.when(by_key, 1).otherwise(F.col("n").cast("int"))
+    name = F.element_at(F.array(*[F.lit(rule.name) for rule in rules]), F.col("no") + 1)
+    return kept.select(
+        F.lit(table).alias("table"), name.alias("rule"), F.concat_ws("|", F.transform("key", lambda k: F.coalesce(k, F.lit("")))).alias("key"),
+        F.when(by_key, F.col("n").cast("string")).otherwise(F.col("observed")).alias("observed"), F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy"),
+    ).drop("_copy")
+
+
+def observe_rules(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, Observation]:
+    """``df`` with ``_violations``, the names of the row rules that a row breaks, and their counts to come.
+
+    The counts are filled in by the caller's own action on the rows, so marking and
+    counting take no pass of their own.  Key rules look beyond a row and need `check_rules`.
+    """
+    if any(rule.bad is None for rule in rules):
+        raise ValueError("rules on keys look beyond a row: use check_rules")
+    counts = Observation()
+    marked = df.withColumn("_violations", F.array_compact(F.array(*[F.when(rule.bad, F.lit(rule.name)) for rule in rules])))
+    metrics = [F.count(F.when(F.array_contains("_violations", rule.name), 1)).alias(rule.name) for rule in rules]
+    return marked.observe(counts, F.count("*").alias("rows"), *metrics), counts
+
+
 def violation_counts(reports: list[DataFrame]) -> DataFrame:
     """Violations per table and rule over several reports."""
     rows = reduce(DataFrame.unionByName, reports)

@@ -1,4 +1,5 @@
 from decimal import Decimal
+from functools import reduce
 
 import pytest
 from shop_data import at
@@ -83,3 +84,62 @@ def test_like_any_and_exists(spark):
     assert filters.like_any(df, "n", ["%gin%", "%brin%"]).count() == 2
     assert filters.unless_exists(df, spark.range(0)).count() == 3
     assert filters.unless_exists(df, spark.range(2)).count() == 0
+
+
+def everything(customers, payments, orders):
+    pairs = [
+        (customers, "c", [
+            (quality.matches(["id"], "zip", ZIP_PATTERN), quality.rule_regex(customers, "c", ["id"], "zip", ZIP_PATTERN)),
+            (quality.matches(["id"], "state", STATE_PATTERN), quality.rule_regex(customers, "c", ["id"], "state", STATE_PATTERN)),
+            (quality.long_between(["id"], "zip", 5, 5), quality.rule_length(customers, "c", ["id"], "zip", 5, 5)),
+            (quality.long_between(["id"], "zip", high=4), quality.rule_length(customers, "c", ["id"], "zip", high=4)),
+            (quality.present(["id", "zip"], "zip"), quality.rule_not_null(customers, "c", ["id", "zip"], "zip")),
+            (quality.unique(["id"]), quality.rule_unique(customers, "c", ["id"])),
+            (quality.unique(["id", "zip"]), quality.rule_unique(customers, "c", ["id", "zip"])),
+        ]),
+        (payments, "p", [
+            (quality.at_least(["order_id"], "value", 0), quality.rule_min(payments, "p", ["order_id"], "value", 0)),
+            (quality.between(["order_id"], "installments", 1, 24), quality.rule_between(payments, "p", ["order_id"], "installments", 1, 24)),
+            (quality.one_of(["order_id"], "type", PAYMENT_TYPES), quality.rule_in_set(payments, "p", ["order_id"], "type", PAYMENT_TYPES)),
+            (quality.known("order_id", orders, "order_id"), quality.rule_foreign_key(payments, "p", "order_id", orders, "order_id")),
+            (quality.known("type", orders, "order_id"), quality.rule_foreign_key(payments, "p", "type", orders, "order_id")),
+            (quality.unique(["order_id", "seq"]), quality.rule_unique(payments, "p", ["order_id", "seq"])),
+        ]),
+    ]
+    return pairs
+
+
+def shown(reports):
+    return sorted((tuple(r) for report in reports for r in report.collect()), key=str)
+
+
+def test_rules_in_one_pass_report_what_single_rules_do(spark, customers, payments):
+    orders = spark.createDataFrame([("o1",), ("o2",), (None,)], "order_id STRING")
+    # Repeated rows break a rule once each.
+    for copies in (1, 3):
+        twice = [reduce(type(df).unionAll, [df] * copies) for df in (customers, payments)]
+        for df, table, rules in everything(*twice, orders):
+            assert shown([quality.check_rules(df, table, [r for r, _ in rules])]) == shown([single for _, single in rules])
+
+
+def test_rules_on_an_empty_table(customers):
+    rules = [quality.matches(["id"], "zip", ZIP_PATTERN), quality.unique(["id"])]
+    assert quality.check_rules(customers.limit(0), "c", rules).count() == 0
+
+
+def test_one_scan_for_all_rules(spark, customers, tmp_path, capsys):
+    customers.write.parquet(str(tmp_path / "c"))
+    stored = spark.read.parquet(str(tmp_path / "c"))
+    rules = [quality.matches(["id"], "zip", ZIP_PATTERN), quality.present(["id"], "state"), quality.unique(["id"]), quality.unique(["zip"])]
+    quality.violation_counts([quality.check_rules(stored, "c", rules)]).explain()
+    assert capsys.readouterr().out.count("FileScan") == 1
+
+
+def test_counts_come_with_the_write(customers, tmp_path):
+    rules = [quality.matches(["id"], "zip", ZIP_PATTERN), quality.matches(["id"], "state", STATE_PATTERN)]
+    marked, counts = quality.observe_rules(customers, rules)
+    marked.write.parquet(str(tmp_path / "marked"))
+    assert counts.get == {"rows": 5, "zip regex": 1, "state regex": 1}
+    assert sorted(v for r in marked.collect() for v in r["_violations"]) == ["state regex", "zip regex"]
+    with pytest.raises(ValueError, match="check_rules"):
+        quality.observe_rules(customers, [quality.unique(["id"])])
