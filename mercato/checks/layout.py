@@ -358,3 +358,40 @@ def _(m):
 )
 def _(m):
     return batches.batch_report(m.spark, _batched(m))
+
+
+@check(
+    "prim_json_contains_column",
+    "s_products",
+    """SELECT product_id, json_contains(CAST(product_attributes AS JSON), CAST(pattern AS JSON)) AS fits
+    FROM (SELECT product_id, product_attributes, '{"color": "' || ['Black', 'White', 'Silver'][product_id % 3 + 1] || '"'
+        || CASE WHEN product_id % 5 = 0 THEN ', "warranty_months": 12' ELSE '' END || '}' AS pattern FROM s_products)""",
+)
+def _(m):
+    """Each product against a pattern of its own."""
+    key = F.col("product_id")
+    color = F.element_at(F.array(*[F.lit(c) for c in ("Black", "White", "Silver")]), (key % 3 + 1).cast("int"))
+    more = F.when(key % 5 == 0, ', "warranty_months": 12').otherwise("")
+    pattern = F.concat(F.lit('{"color": "'), color, F.lit('"'), more, F.lit("}"))
+    return m.products.select("product_id", jsonq.contains_column(jsonq.parsed(F.col("product_attributes")), jsonq.parsed(pattern)).alias("fits"))
+
+
+@check(
+    "clustered_write_by",
+    "s_orders",
+    """SELECT count(*) AS row_count, count(DISTINCT order_id) AS orders, CAST(16 AS BIGINT) AS files, TRUE AS customers_skip_half, TRUE AS times_skip_half
+    FROM s_orders""",
+)
+def _(m):
+    """Orders in order of customer and time at once: a tenth of either range meets at most half of the files."""
+    path = new_table_path(m.spark, "orders_interleaved")
+    layout.clustered_write_by(m.orders, path, ["customer_id", "order_purchase_timestamp"], files=16)
+    table = m.spark.read.parquet(path)
+    ends = m.orders.agg(*[F.percentile_approx("customer_id", p).alias(n) for p, n in ((0.4, "a"), (0.5, "b"))]).first()
+    times = m.orders.agg(*[F.percentile_approx(F.unix_micros(F.col("order_purchase_timestamp").cast("timestamp")), p).alias(n) for p, n in ((0.4, "a"), (0.5, "b"))])
+    time = times.select(*[F.timestamp_micros(c).cast("timestamp_ntz").alias(c) for c in ("a", "b")]).first()
+    by_customer = layout.files_met(table, "customer_id", ends["a"], ends["b"])
+    by_time = layout.files_met(table, "order_purchase_timestamp", time["a"], time["b"])
+    half = lambda met: met.select(F.col("files_met") * 2 <= F.col("files")).scalar()
+    totals = table.agg(F.count("*").alias("row_count"), F.count_distinct("order_id").alias("orders"))
+    return totals.select("*", by_time.select("files").scalar().alias("files"), half(by_customer).alias("customers_skip_half"), half(by_time).alias("times_skip_half"))

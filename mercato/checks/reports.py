@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from mercato.checks.registry import check
 from mercato.checks.sql import big, dbl, half_up, pct
+from mercato.functions import jsonq
 from mercato.plans import reports
 
 
@@ -64,3 +67,38 @@ def _(m):
 )
 def _(m):
     return reports.timing_stats(m.runs, ["query_name", "phase"])
+
+
+def _plans(m):
+    """Each event as the plan of a run, its value as the execution time."""
+    text = F.concat(F.lit('[{"Planning Time": '), F.col("value") / 8, F.lit(', "Execution Time": '), F.col("value"), F.lit(', "Plan": {}}]'))
+    return m.table("events").select("event_type", "user_id", "event_id", jsonq.parsed(text).alias("plan"))
+
+
+@check(
+    "timing_arrays",
+    "",
+    """SELECT event_type, user_id, count(*) AS runs, CAST(list_extract(list(value ORDER BY event_id), 1) AS DOUBLE) AS first_time,
+        CAST(max(value) AS DOUBLE) AS longest FROM events GROUP BY 1, 2""",
+)
+def _(m):
+    arrays = reports.timing_arrays(_plans(m), ["event_type", "user_id"], "event_id")
+    times = F.col("execution_times")
+    return arrays.select("event_type", "user_id", F.size(times).cast("long").alias("runs"), F.get(times, F.lit(0)).alias("first_time"), F.array_max(times).alias("longest"))
+
+
+@check(
+    "append_timings",
+    "",
+    f"""SELECT event_type, count(value) AS runs, {half_up("CAST(sum(CAST(value / 8 AS DECIMAL(20,6))) AS DOUBLE) / count(value)", 3)} AS avg_planning,
+        {half_up("CAST(sum(CAST(value AS DECIMAL(20,6))) AS DOUBLE) / count(value)", 3)} AS avg_execution, round(min(value), 3) AS min_execution,
+        round(max(value), 3) AS max_execution, {half_up("stddev_samp(value)", 3)} AS stddev_execution FROM events GROUP BY 1""",
+)
+def _(m):
+    """Arrays of all runs but the last of each event type and user, the last one appended, then unnested."""
+    keys = ["event_type", "user_id"]
+    plans = _plans(m)
+    last = plans.groupBy(*keys).agg(F.max("event_id").alias("event_id"))
+    arrays = reports.timing_arrays(plans.join(last, [*keys, "event_id"], "left_anti"), keys, "event_id", array_runs=5)
+    whole = reports.append_timings(arrays, plans.join(last, [*keys, "event_id"], "left_semi"), keys)
+    return reports.array_timing_stats(whole, ["event_type"])

@@ -1,7 +1,8 @@
 """Queries on semi-structured attributes held as VARIANT.
 
-The pattern is known when the plan is built, so each test becomes a conjunction
-of typed variant extractions that Spark runs inside the scan stage.
+Where the pattern is known when the plan is built, each test becomes a conjunction
+of typed variant extractions that Spark runs inside the scan stage.  A pattern that is
+a column itself is compared level by level (:func:`contains_column`).
 """
 
 from __future__ import annotations
@@ -72,6 +73,48 @@ def contains(value: Column, pattern: object) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
+def _same_scalar(value: Column, pattern: Column) -> Column:
+    kinds = F.schema_of_variant(value), F.schema_of_variant(pattern)
+    typed = lambda kind: F.try_variant_get(value, "$", kind) == F.try_variant_get(pattern, "$", kind)
+    numbers = kinds[0].rlike(NUMERIC_SCHEMA) & kinds[1].rlike(NUMERIC_SCHEMA)
+    # Numbers beyond the decimals compare as doubles.
+    return (
+        (F.is_variant_null(value) & F.is_variant_null(pattern))
+        | ((kinds[0] == "BOOLEAN") & (kinds[1] == "BOOLEAN") & typed("boolean"))
+        | ((kinds[0] == "STRING") & (kinds[1] == "STRING") & typed("string"))
+        | (numbers & F.coalesce(typed("decimal(38,10)"), typed("double")))
+    )
+
+
+def _covers(value: Column, pattern: Column, depth: int) -> Column:
+    """Containment of one variant in another for patterns of up to ``depth`` levels of objects and arrays."""
+    shape = lambda v: F.substring(F.schema_of_variant(v), 1, 5)  # noqa: E731  OBJEC, ARRAY or a scalar's
+    scalar = ~shape(value).isin("OBJEC", "ARRAY") & ~shape(pattern).isin("OBJEC", "ARRAY") & _same_scalar(value, pattern)
+    if depth == 0:
+        deep = F.raise_error(F.lit("the pattern has more levels than contains_column was asked for")).cast("boolean")
+        return F.when(shape(pattern).isin("OBJEC", "ARRAY"), deep).otherwise(scalar)
+    fields = lambda v: F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
+    items = lambda v: F.try_variant_get(v, "$", "array<variant>")
+    yes = lambda test: F.coalesce(test, F.lit(False))
+    objects = F.forall(fields(pattern), lambda p: F.exists(fields(value), lambda v: (v["key"] == p["key"]) & yes(_covers(v["value"], p["value"], depth - 1))))
+    arrays = F.forall(items(pattern), lambda p: F.exists(items(value), lambda v: yes(_covers(v, p, depth - 1))))
+    same = lambda kind: (shape(value) == kind) & (shape(pattern) == kind)
+    return F.when(same("OBJEC"), objects).when(same("ARRAY"), arrays).otherwise(scalar)
+
+
+def contains_column(value: Column, pattern: Column, depth: int = 3) -> Column:
+    """Whether each row's ``value`` contains its ``pattern``, both VARIANT.
+
+    The meaning is that of :func:`contains`: every key of an object is there and its value
+    contained, every element of an array is contained in some element, scalars are equal
+    with their type; a scalar is also found inside a top-level array.  Elements are compared
+    as wholes, so two elements never share out one pattern between them.  A NULL on
+    either side is no match; a pattern of more than ``depth`` levels is an error.
+    """
+    element = F.exists(F.try_variant_get(value, "$", "array<variant>"), lambda v: F.coalesce(_same_scalar(v, pattern), F.lit(False)))
+    return F.coalesce(_covers(value, pattern, depth), F.lit(False)) | F.coalesce(element, F.lit(False))
+
+
 def has_key(value: Column, key: str) -> Column:
     """Top-level key present (a JSON null counts), or an array that holds the string."""
     as_member = F.exists(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,11 +12,13 @@ from pyspark.sql import types as T
 from mercato.functions.dates import as_date, as_timestamp, month_label, month_start
 from mercato.functions.jsonq import has_key, int_at, parsed
 from mercato.operators.comoments import co_moments, correlation, merge_states
-from mercato.operators.ranks import counts_before, order_number
+from mercato.operators.ranks import counts_before, cuts_below, order_number
 
 MONTH = "order_month"
 DEFAULT = "default"
 PURCHASE = "order_purchase_timestamp"
+#: Bits of each column's place in the interleaved order.
+ORDER_BITS = 8
 #: Rows of a file that are compared in one window of the clustering report.
 RUN_ROWS = 100_000
 
@@ -305,3 +308,41 @@ def clustered_write(df: DataFrame, path: str, column: str, files: int | None = N
         .write.mode("overwrite")
         .parquet(path)
     )
+
+
+def interleaved(places: list[Column], bits: int = ORDER_BITS) -> Column:
+    """One number from several of ``bits`` bits: their highest bits first, column by column, then the next ones."""
+    n = len(places)
+    parts = [
+        F.shiftleft(F.shiftright(place, bit).bitwiseAND(F.lit(1)).cast("long"), bit * n + n - 1 - i)
+        for i, place in enumerate(places) for bit in range(bits)
+    ]
+    return reduce(Column.bitwiseOR, parts)
+
+
+def clustered_write_by(df: DataFrame, path: str, columns: list[str], files: int | None = None) -> None:
+    """Write the table so that a range of any of several columns meets few files (Z-order).
+
+    A row's place in a column is its rank among approximate quantiles, so skewed and uneven values
+    spread evenly; NULL comes first.  Places are interleaved bit by bit and the table is
+    range-partitioned by the result.  The row id breaks ties, so rows that agree in all
+    columns do not fill one task.
+    """
+    n = 1 << ORDER_BITS
+    edges = [i / n for i in range(1, n)]
+    numbers = {c: order_number(c, df.schema[c].dataType) for c in columns}
+    cuts = df.agg(*[F.percentile_approx(v, edges, 10 * n).alias(c) for c, v in numbers.items()])
+    # An array of some hundred numbers for each column.
+    ranked = df.withColumns({f"_cuts_{i}": cuts.select(c).scalar() for i, c in enumerate(columns)})
+    places = [F.coalesce(cuts_below(F.col(f"_cuts_{i}"), n, v), F.lit(0)) for i, v in enumerate(numbers.values())]
+    # The row travels whole beside its keys, so its columns may have any name.
+    numbered = ranked.select(F.struct(*df.columns).alias("row"), interleaved(places).alias("z"), F.monotonically_increasing_id().alias("id"))
+    spread = numbered.repartitionByRange("z", "id") if files is None else numbered.repartitionByRange(files, "z", "id")
+    spread.sortWithinPartitions("z").select("row.*").write.mode("overwrite").parquet(path)
+
+
+def files_met(table: DataFrame, column: str, low: object, high: object) -> DataFrame:
+    """Files of a scanned table, and how many of them a filter ``low <= column <= high`` has to open by their ranges."""
+    files = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    met = F.count(F.when((F.col("low") <= F.lit(high)) & (F.col("high") >= F.lit(low)), 1))
+    return files.agg(F.count("*").alias("files"), met.alias("files_met"))

@@ -35,6 +35,13 @@ def order_number(column: str, kind: T.DataType) -> Column:
     return value.cast("double")
 
 
+def cuts_below(cuts: Column, n: int, value: Column) -> Column:
+    """How many of up to ``n`` sorted cuts are smaller than the value, by halves."""
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(n.bit_length()))])
+    below = lambda at: (at <= F.size(cuts)) & (F.get(cuts, at - 1) < value)
+    return F.aggregate(steps, F.lit(0), lambda at, half: F.when(below(at + half), at + half).otherwise(at))
+
+
 def _same(df: DataFrame, keys: list[str], prefix: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
 
@@ -51,8 +58,8 @@ def counts_before(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     edges = [i / SLOTS for i in range(1, SLOTS)]
     cuts = counts.groupBy(*keys).agg(F.percentile_approx(order_number(column, kind), edges, 10 * SLOTS).alias("_cuts"))
     ranges = cuts.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_cuts")
-    slot = F.size(F.filter("_cuts", lambda c: c < order_number(column, kind)))
-    placed = counts.join(ranges, _same(counts, keys, "_c_")).withColumn("_slot", slot).select(*keys, column, "n", "_slot")
+    at = order_number(column, kind)
+    placed = counts.join(ranges, _same(counts, keys, "_c_")).withColumn("_slot", cuts_below(F.col("_cuts"), SLOTS, at)).select(*keys, column, "n", "_slot")
     earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         placed.groupBy(*keys, "_slot").agg(F.sum("n").alias("_size"))

@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 from mercato.functions.numeric import percent, round_half_up
 from mercato.functions.ordering import largest_first
+from mercato.operators.ranks import running_numbers
 
 
 SPACE = "disk_space_used_mb"
+#: Runs whose times share one array, at most.
+ARRAY_RUNS = 1000
+# Where a plan in JSON has its times.
+PLAN_TIMES = {"planning_times": "$[0]['Planning Time']", "execution_times": "$[0]['Execution Time']"}
 
 
 def before_after(runs: DataFrame, keys: list[str]) -> DataFrame:
@@ -94,3 +99,41 @@ def timing_stats(runs: DataFrame, keys: list[str], value: str = "execution_ms")
         F.round(F.max(time), 3).alias("max_time"),
         round_half_up(F.stddev_samp(time.cast("double")), 3).alias("stddev_time"),
     )
+
+
+def timing_arrays(plans: DataFrame, keys: list[str], run: str, plan: str = "plan", array_runs: int = ARRAY_RUNS) -> DataFrame:
+    """Times of repeated runs as arrays: one row per key and ``part`` of at most ``array_runs`` runs, in order of ``run``.
+
+    ``plan`` is a VARIANT, an array whose first element has the times.  A key with very many runs has several parts.
+    """
+    numbered = running_numbers(plans, keys, [run], max(array_runs, 100_000)).withColumn("part", F.floor((F.col("number") - 1) / array_runs))
+    times = [F.try_variant_get(plan, path, "double").alias(name) for name, path in PLAN_TIMES.items()]
+    lists = numbered.groupBy(*keys, "part").agg(F.sort_array(F.collect_list(F.struct(run, *times))).alias("runs"))
+    return lists.select(*keys, "part", *[F.col(f"runs.{name}").alias(name) for name in PLAN_TIMES])
+
+
+def append_timings(arrays: DataFrame, plans: DataFrame, keys: list[str], plan: str = "plan") -> DataFrame:
+    """``arrays`` with the times of one more run per key appended to the key's last part; ``plans`` has one row per key.
+
+    A key without arrays gets its first part.
+    """
+    last = arrays.groupBy(*keys).agg(F.max("part").alias("part"))
+    new = plans.select(*keys, *[F.try_variant_get(plan, path, "double").alias(f"_new_{name}") for name, path in PLAN_TIMES.items()], F.lit(True).alias("_has"))
+    placed = new.join(last, keys, "left").withColumn("part", F.coalesce("part", F.lit(0).cast("long")))
+    joined = arrays.join(placed, [*keys, "part"], "full_outer")
+    longer = [
+        F.when(F.col("_has"), F.array_append(F.coalesce(name, F.array().cast("array<double>")), F.col(f"_new_{name}"))).otherwise(F.col(name)).alias(name)
+        for name in PLAN_TIMES
+    ]
+    return joined.select(*keys, "part", *longer)
+
+
+def array_timing_stats(arrays: DataFrame, keys: list[str]) -> DataFrame:
+    """Average planning time and average, least, greatest and deviation of execution times, from the unnested arrays."""
+    unnested = arrays.select(*keys, F.inline(F.arrays_zip(*PLAN_TIMES)).alias("planning", "execution"))
+    mean = lambda c: round_half_up(F.sum(F.col(c).cast("decimal(20,6)")).cast("double") / F.count(c), 3)
+    return unnested.groupBy(*keys).agg(
+        F.count("execution").alias("runs"), mean("planning").alias("avg_planning"), mean("execution").alias("avg_execution"),
+        F.round(F.min("execution"), 3).alias("min_execution"), F.round(F.max("execution"), 3).alias("max_execution"),
+        round_half_up(F.stddev_samp("execution"), 3).alias("stddev_execution"),
+    )

@@ -1,12 +1,14 @@
 """Retail query pack over orders, items, payments, customers, sellers and products.
 
-No join is forced to broadcast: Catalyst broadcasts a side when its size (known
+No join is forced to broadcast without a count of its rows: Catalyst broadcasts a side when its size (known
 from the files or measured at run time) is under the session's threshold, and
 uses a shuffle join with skew splitting beyond it.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ from mercato.operators.layout import MONTH, months_of
 PURCHASE = "order_purchase_timestamp"
 DELIVERED_AT = "order_delivered_customer_date"
 ESTIMATE = "order_estimated_delivery_date"
+#: Rows of one order that are broadcast, at most.
+POINT_ROWS = 10_000
 
 
 def purchased_between(start: str | None = None, end: str | None = None) -> Column:
@@ -502,17 +506,24 @@ def order_detail(
 ) -> DataFrame:
     """Everything about one order: each item next to each payment.
 
-    The order's rows are few by contract (its key is unique, see the uniqueness rule;
-    items and payments belong to it), so they are broadcast to the dimensions, which
-    are scanned in place and never shuffled.
+    An order with few rows is broadcast to the dimensions, which are then scanned in place
+    and never shuffled.  Whether it has few is counted first, up to `POINT_ROWS` of each
+    table; a larger one is joined as Spark sees fit.
     """
     one = F.col("order_id") == order_id
-    placed = customers.join(F.broadcast(orders.where(one)), "customer_id")
-    lines = placed.join(F.broadcast(items.where(one)), "order_id")
-    described = products.select("product_id", "product_category_name").join(F.broadcast(lines), "product_id")
+    sides = {name: table.where(one) for name, table in (("orders", orders), ("items", items), ("payments", payments))}
+    counted = reduce(DataFrame.unionAll, [side.select(F.lit(name).alias("side")).limit(POINT_ROWS + 1) for name, side in sides.items()])
+    found = {r["side"]: r["count"] for r in counted.groupBy("side").count().collect()}
+    few = {name: found.get(name, 0) for name in sides}
+    small = lambda df, rows: F.broadcast(df) if rows <= POINT_ROWS else df
+    placed = customers.join(small(sides["orders"], few["orders"]), "customer_id")
+    lines = placed.join(small(sides["items"], few["items"]), "order_id")
+    # An order joins one customer and each of its items one product and seller.
+    width = few["orders"] * few["items"]
+    described = products.select("product_id", "product_category_name").join(small(lines, width), "product_id")
     return (
-        sellers.join(F.broadcast(described), "seller_id")
-        .join(F.broadcast(payments.where(one)), "order_id", "left")
+        sellers.join(small(described, width), "seller_id")
+        .join(small(sides["payments"], few["payments"]), "order_id", "left")
         .orderBy(smallest_first("order_item_id"), smallest_first("payment_sequential"))
         .select(
             "order_id",

@@ -123,3 +123,37 @@ def test_score_counts_weighted_words(spark):
     )
     scores = docs.select(text.text_score({"title": 10, "message": 5}, "produto").alias("s")).collect()
     assert [r["s"] for r in scores] == [20.0, 0.0, 5.0]
+
+
+def plain_contains(value, pattern, top=True):
+    if isinstance(pattern, dict):
+        return isinstance(value, dict) and all(k in value and plain_contains(value[k], p, False) for k, p in pattern.items())
+    if isinstance(pattern, list):
+        return isinstance(value, list) and all(any(plain_contains(v, p, False) for v in value) for p in pattern)
+    if top and isinstance(value, list):
+        return any(not isinstance(v, (dict, list)) and plain_contains(v, pattern, False) for v in value)
+    return not isinstance(value, (dict, list)) and isinstance(value, bool) == isinstance(pattern, bool) and isinstance(value, str) == isinstance(pattern, str) and (value is None) == (pattern is None) and value == pattern
+
+
+def test_containment_of_a_column(spark):
+    import itertools
+    import json
+
+    documents = [
+        {}, {"a": 1}, {"a": 1.0, "b": "1"}, {"a": "1"}, {"a": None}, {"a": True}, {"a": {"b": [1, 2, {"c": 3}]}, "z": "z"}, {"a": {"b": [2, 1]}}, {"a": {}}, {"a": {"b": []}},
+        [], [1, 2], [2, 1, 1], ["1"], [[1], [2]], [{"a": 1}, {"b": 2}], [{"a": 1, "b": 2}], [None], 1, 1.5, 1e300, "x", "1", True, False, None, {"it's": 1}, {"a.b": 1}, [1, [1, 2]],
+    ]
+    pairs = list(itertools.product(documents, documents))
+    df = spark.createDataFrame([(i, json.dumps(v), json.dumps(p)) for i, (v, p) in enumerate(pairs)], "i INT, v STRING, p STRING")
+    found = df.select("i", jsonq.contains_column(jsonq.parsed(F.col("v")), jsonq.parsed(F.col("p")), depth=4).alias("fits")).collect()
+    wrong = [pairs[r.i] for r in found if r.fits != plain_contains(*pairs[r.i])]
+    assert not wrong
+
+
+def test_containment_of_nothing_and_of_too_deep_patterns(spark):
+    df = spark.createDataFrame([("{}", None), (None, "{}"), ("{", "{}")], "v STRING, p STRING")
+    assert [r[0] for r in df.select(jsonq.contains_column(jsonq.parsed(F.col("v")), jsonq.parsed(F.col("p")))).collect()] == [False] * 3
+    deep = spark.createDataFrame([('{"a": {"b": 1}}', '{"a": {"b": 1}}')], "v STRING, p STRING")
+    assert deep.select(jsonq.contains_column(jsonq.parsed(F.col("v")), jsonq.parsed(F.col("p")), depth=2)).first()[0]
+    with pytest.raises(Exception, match="more levels"):
+        deep.select(jsonq.contains_column(jsonq.parsed(F.col("v")), jsonq.parsed(F.col("p")), depth=1)).collect()

@@ -179,3 +179,25 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = shared_folder(spark)
     assert folder == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert new_table_path(spark, "x").startswith(folder) and new_table_path(spark, "x") != new_table_path(spark, "x")
+
+
+def test_interleaving_takes_the_highest_bits_first(spark):
+    df = spark.createDataFrame([(a, b) for a in range(8) for b in range(8)], "a INT, b INT")
+    for r in df.select("a", "b", layout.interleaved([F.col("a"), F.col("b")], 3).alias("z")).collect():
+        assert r.z == int("".join(f"{r.a:03b}"[i] + f"{r.b:03b}"[i] for i in range(3)), 2)
+
+
+def test_ranges_of_either_column_meet_few_files(spark, tmp_path):
+    # The second column is skewed and has nulls; neither follows the other.
+    df = spark.range(20_000).select(
+        (F.col("id") * 7919 % 10007).alias("a"), F.when(F.col("id") % 50 != 0, F.pow(F.col("id") * 104729 % 1009, 3)).alias("b"), F.lit("x").alias("_z")
+    )
+    layout.clustered_write_by(df, str(tmp_path / "z"), ["a", "b"], files=64)
+    table = spark.read.parquet(str(tmp_path / "z"))
+    assert table.count() == 20_000 and table.columns == ["a", "b", "_z"] and table.where("b IS NULL").count() == 400
+    by_a = layout.files_met(table, "a", 4000, 4500).first()
+    by_b = layout.files_met(table, "b", 500.0**3, 550.0**3).first()
+    assert by_a.files == by_b.files == 64 and by_a.files_met <= 32 and by_b.files_met <= 32
+    # In order of one column a range of the other meets them all.
+    layout.clustered_write(df, str(tmp_path / "one"), "a", files=64)
+    assert layout.files_met(spark.read.parquet(str(tmp_path / "one")), "b", 500.0**3, 550.0**3).first().files_met > 60

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from mercato.plans import reports
 
@@ -67,3 +68,20 @@ def test_sheet_without_space(summary):
     bare = summary.drop("disk_space_used_mb")
     assert "space_cost" not in reports.optimization_detail(bare).columns
     assert "total_space_mb" not in reports.optimization_rollup(bare).columns
+
+
+def test_timings_are_appended_and_unnested(spark):
+    def plans(rows):
+        df = spark.createDataFrame(rows, "q STRING, run INT, text STRING")
+        return df.select("q", "run", F.parse_json("text").alias("plan"))
+
+    text = '[{{"Planning Time": {}, "Execution Time": {}}}, {{"Execution Time": 99}}]'.format
+    first = plans([("a", i, text(i / 10, i)) for i in range(1, 8)] + [("b", 1, "[]")])
+    arrays = reports.timing_arrays(first, ["q"], "run", array_runs=3)
+    assert sorted((r.q, len(r.execution_times)) for r in arrays.collect()) == [("a", 1), ("a", 3), ("a", 3), ("b", 1)]
+    longer = reports.append_timings(arrays, plans([("a", 8, text(0.8, 8)), ("c", 1, text(1, 5))]), ["q"])
+    assert sorted((r.q, r.part, len(r.planning_times)) for r in longer.collect()) == [("a", 0, 3), ("a", 1, 3), ("a", 2, 2), ("b", 0, 1), ("c", 0, 1)]
+    found = {r.q: r for r in reports.array_timing_stats(longer, ["q"]).collect()}
+    a = found["a"]
+    assert (a.runs, float(a.avg_execution), float(a.avg_planning), a.max_execution) == (8, 4.5, 0.45, 8)
+    assert found["b"].runs == 0 and found["b"].avg_execution is None and found["c"].min_execution == 5

@@ -181,3 +181,18 @@ def test_report_time_counts_hours(shop):
         return {r["order_id"]: r["days_since_purchase"] for r in found.collect()}
 
     assert age("2018-01-18 17:00:00")["open1"] == 15 and age("2018-01-18 18:00:00")["open1"] == 16
+
+
+def test_a_huge_order_is_not_broadcast(spark, shop, monkeypatch):
+    monkeypatch.setattr(retail, "POINT_ROWS", 1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = retail.order_detail(shop.orders, shop.customers, shop.items, shop.products, shop.sellers, shop.payments, "fan")
+        plan = plan_of(found)
+        assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" in plan
+        huge = found.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    monkeypatch.setattr(retail, "POINT_ROWS", 100)
+    assert huge == retail.order_detail(shop.orders, shop.customers, shop.items, shop.products, shop.sellers, shop.payments, "fan").collect() and len(huge) == 4
