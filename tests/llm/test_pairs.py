@@ -335,3 +335,28 @@ def test_exact_passages_whose_parts_are_common(llm):
 def test_passages_of_odd_rows(odd, nothing):
     assert {r.doc_id for r in passages.find_passages(odd).collect()} == {None, 4}
     assert passages.find_passages(nothing).count() == 0
+
+
+def test_spanning_pairs_join_what_all_pairs_join():
+    draw = np.random.default_rng(4)
+    for n in (2, 10, 200):
+        a, b = draw.integers(0, n, 5 * n), draw.integers(0, n, 5 * n)
+        parts = draw.integers(0, max(2, n // 2), n) * 7 - 50
+        keep = jaccard.spanning(a, b, parts)
+
+        def groups(pairs, parts=parts):
+            label = {int(p): int(p) for p in parts}
+            for _ in range(len(label)):
+                for x, y in pairs:
+                    low = min(label[int(parts[x])], label[int(parts[y])])
+                    label[int(parts[x])] = label[int(parts[y])] = low
+            return label
+
+        assert groups(list(zip(a, b, strict=True))) == groups(list(zip(a[keep], b[keep], strict=True)))
+        assert keep.sum() == len(set(parts.tolist())) - len(set(groups(list(zip(a, b, strict=True))).values()))
+
+
+def test_one_of_equal_rows_stays_whatever_their_order(llm):
+    rows = [(1, prose(60, 80), f"v{i}") for i in range(20)]
+    kept = {jaccard.keep_one(llm.createDataFrame(rows[i:] + rows[:i], "doc_id long, text string, v string").repartition(4)).first().v for i in (0, 7, 13)}
+    assert len(kept) == 1
