@@ -5,7 +5,8 @@ one buffer.  Here the values are counted first (copies of one value collapse
 before the shuffle), approximate quantiles cut each group into a few ranges,
 each range is divided into equal slots, and only the slot that holds the wanted
 rank is sorted.  The result is exact however good the cuts are; they only decide
-how much is sorted.
+how much is sorted.  The plan uses the cuts twice and both must be the same, so
+they are written to the shared folder first.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mercato.session import settled
+
 ACCURACY = 10_000
 SLOTS = 512
 
@@ -48,7 +51,7 @@ def exact_quantiles(
     )
     counts = base.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
 
-    ranges = cuts.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_cuts", "_total")
+    ranges = settled(cuts.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_cuts", "_total"), "cuts")
     if few_groups:
         ranges = F.broadcast(ranges)
     on_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys])

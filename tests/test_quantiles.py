@@ -53,3 +53,11 @@ def test_two_keys(spark):
 def test_approximate_switch(spark):
     df = spark.range(101).select(F.lit("a").alias("k"), F.col("id").alias("v"))
     assert quantiles(df, approx=True)[("a", 0.5)] == 50.0
+
+
+def test_cuts_are_computed_once(spark):
+    """Both uses of the cuts must see the same ones, and approximate quantiles may differ between two evaluations."""
+    df = spark.createDataFrame([("a", float(i)) for i in range(100)], "k STRING, v DOUBLE")
+    found = exact_quantiles(df, ["k"], "v", [0.5], few_groups=True)
+    assert "percentile_approx" not in found._jdf.queryExecution().toString()
+    assert [r["quantile"] for r in found.collect()] == [49.5]
