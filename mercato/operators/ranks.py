@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mercato.session import settled
+
 #: Slots that a group of values is cut into.
 SLOTS = 256
 #: Rows in one slot of a numbered group, about.
@@ -57,7 +59,8 @@ def counts_before(df: DataFrame, keys: list[str], column: str) -> DataFrame:
     counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("n"))
     edges = [i / SLOTS for i in range(1, SLOTS)]
     cuts = counts.groupBy(*keys).agg(F.percentile_approx(order_number(column, kind), edges, 10 * SLOTS).alias("_cuts"))
-    ranges = cuts.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_cuts")
+    # Used twice below, and both uses must see the same cuts.
+    ranges = settled(cuts.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_cuts"), "cuts")
     at = order_number(column, kind)
     placed = counts.join(ranges, _same(counts, keys, "_c_")).withColumn("_slot", cuts_below(F.col("_cuts"), SLOTS, at)).select(*keys, column, "n", "_slot")
     earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)

@@ -83,3 +83,9 @@ def test_physical_correlation_by_file(spark, tmp_path, monkeypatch):
         assert abs(found["mixed"].correlation) < 0.3 and found["mixed"].suitability == "not recommended"
         assert found["flat"].correlation is None and found["flat"].suitability == "not recommended"
     assert found["up"].row_count == 400 - len(range(0, 400, 9))
+
+
+def test_cuts_of_counts_are_computed_once(spark):
+    found = ranks.counts_before(spark.createDataFrame([("x", w) for w in "abcb"], "k STRING, v STRING"), ["k"], "v")
+    assert "percentile_approx" not in found._jdf.queryExecution().toString()
+    assert {tuple(r) for r in found.collect()} == {("x", "a", 1, 0), ("x", "b", 2, 1), ("x", "c", 1, 3)}
