@@ -265,9 +265,9 @@ def top_cities(customers: DataFrame, n: int = 20) -> DataFrame:
 
 
 def geo_sample(df: DataFrame, key: list[str], n: int = 5000, seed: int = 42) -> DataFrame:
-    """A repeatable random sample: the ``n`` rows with the smallest keyed hash."""
+    """A repeatable random sample: the ``n`` rows with the smallest keyed hash; rows with equal keys by all their columns."""
     ticket = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
-    return top_k(df.withColumn("_ticket", ticket), n, [F.col("_ticket").asc()], key).drop("_ticket")
+    return top_k(df.withColumn("_ticket", ticket), n, [F.col("_ticket").asc()], [*key, *[c for c in df.columns if c not in key]]).drop("_ticket")
 
 
 def geo_cardinality(geolocation: DataFrame) -> DataFrame:

@@ -125,3 +125,10 @@ def test_orphans_and_cardinality(spark, shop):
 def test_pandas_agrees_on_value_counts(shop):
     pdf: pd.DataFrame = shop.orders.toPandas()
     assert {r["order_status"]: r["n"] for r in rows(explore.order_status_distribution(shop.orders))} == pdf["order_status"].value_counts().to_dict()
+
+
+def test_geo_sample_chooses_among_equal_keys_by_all_columns(spark):
+    rows = [(1, name) for name in ("d", "b", "e", "a", "c")]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "zip INT, city STRING").coalesce(1)
+        assert [r["city"] for r in explore.geo_sample(df, ["zip"], n=2).collect()] == ["a", "b"]
