@@ -19,6 +19,8 @@ DEFAULT = "default"
 PURCHASE = "order_purchase_timestamp"
 #: Bits of each column's place in the interleaved order.
 ORDER_BITS = 8
+#: Leading bits of the interleaved order by which rows are counted before they are dealt to files.
+CELL_BITS = 16
 #: Rows of a file that are compared in one window of the clustering report.
 RUN_ROWS = 100_000
 
@@ -320,24 +322,71 @@ def interleaved(places: list[Column], bits: int = ORDER_BITS) -> Column:
     return reduce(Column.bitwiseOR, parts)
 
 
+def file_borders(sizes: list[tuple[int, int]], files: int, bits: int) -> list[tuple[int, int, int]]:
+    """(first cell, number of the first file, files) of each run of cells that is written together.
+
+    ``sizes`` has the rows of each occupied cell of ``bits`` bits, in order.  Files hold about as many rows each, and
+    a border lies where the highest possible bit changes among the places that leave either neighbour
+    between half and three halves of that.  A cell of more rows than a file is dealt over several.
+    """
+    runs, at, left = [], 0, sum(n for _, n in sizes)
+    numbered = 0
+    while at < len(sizes):
+        share = left / max(files - numbered, 1)
+        room = files - numbered - (at + 1 < len(sizes))
+        whole = max(min(int(sizes[at][1] / share + 0.5), room), 1)
+        stop, held = at + 1, sizes[at][1]
+        if whole == 1 and files - numbered > 1:
+            best, rows = None, 0
+            for k in range(at, len(sizes)):
+                # Every later file needs a cell, or a share of a cell, of its own.
+                rows += sizes[k][1]
+                if k + 1 == len(sizes) or (best and rows > 1.5 * share):
+                    break
+                changed = (sizes[k][0] ^ sizes[k + 1][0]).bit_length()
+                near = 0.5 * share <= rows <= 1.5 * share
+                if best is None or (near, changed if near else 0, -abs(rows - share)) > best[0]:
+                    best = ((near, changed if near else 0, -abs(rows - share)), k + 1, rows)
+            if best:
+                stop, held = best[1:]
+        elif whole == 1:
+            stop, held = len(sizes), left
+        runs.append((sizes[at][0], numbered, whole))
+        numbered, left, at = numbered + whole, left - held, stop
+    return runs
+
+
 def clustered_write_by(df: DataFrame, path: str, columns: list[str], files: int | None = None) -> None:
     """Write the table so that a range of any of several columns meets few files (Z-order).
 
     A row's place in a column is its rank among approximate quantiles, so skewed and uneven values
     spread evenly; NULL comes first.  Places are interleaved bit by bit and the table is
-    range-partitioned by the result.  The row id breaks ties, so rows that agree in all
-    columns do not fill one task.
+    partitioned by ranges of the result: by Spark's sample, or, where ``files`` sets
+    their number, by exact counts, so that files end where a block of places does.  Rows
+    that agree in all columns do not fill one task.
     """
     n = 1 << ORDER_BITS
     edges = [i / n for i in range(1, n)]
     numbers = {c: order_number(c, df.schema[c].dataType) for c in columns}
-    cuts = df.agg(*[F.percentile_approx(v, edges, 10 * n).alias(c) for c, v in numbers.items()])
-    # An array of some hundred numbers for each column.
-    ranked = df.withColumns({f"_cuts_{i}": cuts.select(c).scalar() for i, c in enumerate(columns)})
-    places = [F.coalesce(cuts_below(F.col(f"_cuts_{i}"), n, v), F.lit(0)) for i, v in enumerate(numbers.values())]
+    # An array of some hundred numbers for each column; the same ones for the counts and for the rows.
+    cuts = df.agg(*[F.percentile_approx(v, edges, 10 * n).alias(f"_{i}") for i, v in enumerate(numbers.values())]).first()
+    places = [
+        F.coalesce(cuts_below(F.lit(cuts[i] or []).cast("array<double>"), n, v), F.lit(0)) for i, v in enumerate(numbers.values())
+    ]
     # The row travels whole beside its keys, so its columns may have any name.
-    numbered = ranked.select(F.struct(*df.columns).alias("row"), interleaved(places).alias("z"), F.monotonically_increasing_id().alias("id"))
-    spread = numbered.repartitionByRange("z", "id") if files is None else numbered.repartitionByRange(files, "z", "id")
+    numbered = df.select(F.struct(*df.columns).alias("row"), interleaved(places).alias("z"), F.monotonically_increasing_id().alias("id"))
+    if files is None:
+        spread = numbered.repartitionByRange("z", "id")
+    else:
+        bits = min(ORDER_BITS * len(columns), CELL_BITS)
+        cell = F.shiftright("z", ORDER_BITS * len(columns) - bits).cast("int")
+        # At most 2 ** CELL_BITS counts.
+        sizes = sorted(tuple(r) for r in numbered.groupBy(cell.alias("cell")).count().collect())
+        runs = file_borders(sizes, files, bits)
+        first, number, whole = (F.lit(list(c)).cast("array<int>") for c in zip(*runs, strict=True)) if runs else (F.array(F.lit(0)),) * 3
+        run = cuts_below(first, len(runs), cell + 1) - 1
+        file = F.get(number, run) + F.when(F.get(whole, run) > 1, F.pmod(F.xxhash64("id"), F.get(whole, run))).otherwise(F.lit(0)).cast("int")
+        spread = numbered.repartitionById(files, file)
     spread.sortWithinPartitions("z").select("row.*").write.mode("overwrite").parquet(path)
 
 

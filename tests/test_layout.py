@@ -201,3 +201,25 @@ def test_ranges_of_either_column_meet_few_files(spark, tmp_path):
     # In order of one column a range of the other meets them all.
     layout.clustered_write(df, str(tmp_path / "one"), "a", files=64)
     assert layout.files_met(spark.read.parquet(str(tmp_path / "one")), "b", 500.0**3, 550.0**3).first().files_met > 60
+
+
+def test_files_end_where_a_block_of_places_does():
+    even = [(cell, 10 + (cell * 7919) % 3) for cell in range(256)]
+    assert layout.file_borders(even, 16, 8) == [(16 * i, i, 1) for i in range(16)]
+    # A cell with most rows is dealt over several files; no file is left without cells.
+    hot = [(c, 1000 if c == 5 else 1) for c in range(64)]
+    runs = layout.file_borders(hot, 8, 6)
+    assert [r[1] for r in runs] == [sum(q[2] for q in runs[:i]) for i in range(len(runs))] and sum(r[2] for r in runs) == 8
+    assert next(r for r in reversed(runs) if r[0] <= 5)[2] > 4
+    assert layout.file_borders([(3, 100)], 4, 6) == [(3, 0, 4)] and layout.file_borders([], 4, 6) == []
+
+
+@pytest.mark.parametrize("low", [0.0, 0.4, 0.45])
+def test_a_tenth_of_either_column_meets_at_most_half_of_the_files(spark, tmp_path, low):
+    n = 50_000
+    df = spark.range(n).repartition(8).select((F.col("id") * 7919 % 50021).alias("a"), (F.col("id") * 104729 % 50023).alias("b"))
+    layout.clustered_write_by(df, str(tmp_path / "z"), ["a", "b"], files=16)
+    table = spark.read.parquet(str(tmp_path / "z"))
+    for column in ("a", "b"):
+        met = layout.files_met(table, column, int(low * n), int((low + 0.1) * n)).first()
+        assert met.files == 16 and met.files_met <= 8
