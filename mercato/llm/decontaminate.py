@@ -4,13 +4,14 @@ Benchmark items and texts are compared in windows of the item's own length in wo
 
 * Places.  A window can reach the threshold only if it holds some of the item's
   rarest shingles, those that make up just over a quarter of its weight.  Where a
-  text has such a shingle, the window that lines it up with the item is taken.
+  text has such a shingle, the window that lines it up with the item is fingerprinted.
 * Fingerprints.  Each window and item gets a 64-bit SimHash of its words.  The bits
   form four blocks; two fingerprints within RADIUS = 15 differ by at most 3 bits in
   some block.  Items are entered under every block value within 2 bits, windows
   looked up under every value within 1, so every such pair meets.  A few long words
-  can move a fingerprint further than that, so a window also meets the items whose
-  shingles placed it.
+  can move a fingerprint further than that, and inserted words can make a window best
+  that no shingle lines up; so every window that holds one of an item's rarest
+  shingles also meets that item, whatever its fingerprint.
 * Check.  Met pairs are compared by their distinct five-word shingles, each weighing
   as many as it has letters: weight in common over weight in all.
 """
@@ -67,8 +68,11 @@ def shingle_keys(words: Column) -> Column:
 
 def weighted_shingles(words: Column) -> Column:
     """Distinct shingles: the key, with the number of letters (at most 255) in its low 8 bits."""
-    weight = lambda part: F.least(F.length(F.array_join(part, "")), F.lit(255)).cast("long")
-    return F.array_distinct(_per_shingle(words, lambda part: _key(part).bitwiseOR(weight(part))))
+    return F.array_distinct(_per_shingle(words, _weighted))
+
+
+def _weighted(part: Column) -> Column:
+    return _key(part).bitwiseOR(F.least(F.length(F.array_join(part, "")), F.lit(255)).cast("long"))
 
 
 def weight_of(shingles: Column) -> Column:
@@ -126,6 +130,32 @@ def _anchors(items: DataFrame) -> DataFrame:
     return rare.select("key", place.alias("place"), "length", "number").distinct()
 
 
+def _all_windows(hits: DataFrame, words: DataFrame, items: DataFrame) -> DataFrame:
+    """(text_key, item, common, all) of every window of an item's length that holds one of its rarest shingles.
+
+    A window belongs to the first such shingle in it, so each is compared once.
+    """
+    span = F.col("length") - SHINGLE_WORDS
+    before = F.lag("at").over(W.partitionBy("text_key", "number").orderBy("at"))
+    places = hits.select("text_key", "number", "length", "at").distinct().withColumn("low", F.greatest(F.col("at") - span, F.coalesce(before + 1, F.col("at") - span)))
+    held = stored(places.groupBy("text_key").agg(F.collect_list(F.struct("number", "length", "at", "low")).alias("places")), "places")
+    begin = F.greatest(F.col("p.low"), F.lit(0))
+    parts = words.join(small(held), "text_key").select("text_key", "words", F.explode("places").alias("p")).select(
+        "text_key", "p.*", begin.alias("begin"), F.slice("words", begin + 1, F.col("p.at") + F.col("p.length") - begin).alias("part")
+    ).dropDuplicates(["text_key", "number", "at"])
+    met = parts.join(small(items.select("number", "item", "shingles")), "number").withColumn("found", _per_shingle(F.col("part"), _weighted))
+    # The shingles of all its windows together must hold enough of the item.
+    enough = 100 * weight_of(F.array_intersect("found", "shingles")) >= PERCENT * weight_of(F.col("shingles"))
+
+    def window(start: Column) -> Column:
+        first = F.greatest(start, F.lit(0))
+        found = F.array_distinct(F.slice("found", first - F.col("begin") + 1, F.greatest(span + 1 - (first - start), F.lit(0))))
+        return bind(found, lambda f: F.struct(weight_of(F.array_intersect(f, F.col("shingles"))).alias("common"), weight_of(f).alias("own")))
+
+    compared = met.filter(enough).select("text_key", "item", "shingles", F.explode(F.transform(F.sequence("low", "at"), window)).alias("w"))
+    return compared.select("text_key", "item", "w.common", (F.col("w.own") + weight_of(F.col("shingles")) - F.col("w.common")).alias("all"))
+
+
 def find_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """(text_key, item, similarity) of every text that holds a benchmark item, once per distinct text and item.
 
@@ -138,7 +168,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text", i
     anchors = stored(_anchors(items), "anchors")
     texts = documents.select(F.col(f"`{text}`").alias("t")).filter(F.col("t").isNotNull())
     placed = texts.select(text_key(F.col("t")).alias("text_key"), F.posexplode(shingle_keys(plain_words(F.col("t")))).alias("at", "key"))
-    hits = stored(placed.join(small(anchors), "key").select("text_key", (F.col("at") - F.col("place")).alias("start"), "length", "number").distinct(), "hits")
+    hits = stored(placed.join(small(anchors), "key").select("text_key", "at", (F.col("at") - F.col("place")).alias("start"), "length", "number").distinct(), "hits")
     windows = stored(
         hits.select("text_key", "start", "length").distinct()
         .groupBy("text_key").agg(F.collect_list(F.struct("start", "length")).alias("windows")),
@@ -156,10 +186,11 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, text: str = "text", i
     queries = looked.select("*", F.explode(block_values(F.col("print"), 1)).alias("b")).select("text_key", "start", "length", "found", "print", "b.*")
     near = F.bit_count(F.col("print").bitwiseXOR(F.col("own"))) <= RADIUS
     met = queries.join(entries, ["block", "value", "length"]).filter(near).select("text_key", "item", "found", "shingles")
-    placed_by = hits.join(looked, ["text_key", "start", "length"]).join(items.select("number", "item", "shingles"), "number")
+    placed_by = hits.select("text_key", "start", "length", "number").distinct().join(looked, ["text_key", "start", "length"]).join(items.select("number", "item", "shingles"), "number")
     met = met.unionByName(placed_by.select("text_key", "item", "found", "shingles"))
     common = weight_of(F.array_intersect("found", "shingles"))
     scored = met.withColumn("common", common).withColumn("all", weight_of(F.col("found")) + weight_of(F.col("shingles")) - F.col("common"))
+    scored = scored.select("text_key", "item", "common", "all").unionByName(_all_windows(hits, words.select("text_key", "words"), items))
     return (
         scored.filter(100 * F.col("common") >= PERCENT * F.col("all"))
         .groupBy("text_key", "item").agg(F.max(F.col("common") / F.col("all")).alias("similarity"))

@@ -197,6 +197,18 @@ def test_leaks_equal_brute_force(llm):
     assert sorted(str((r.doc_id, r.text)) for r in kept.collect()) == sorted(str(r) for r in rows if r[1] not in leaked)
 
 
+def test_leak_in_a_window_that_no_shingle_lines_up(llm):
+    """Words put into the middle of an item: windows at its start or end lose long words at the other end."""
+    item = [("x" * 30 if 5 <= i < 10 or 90 <= i < 95 else "w") + str(i) for i in range(100)]
+    text = [*[f"p{i}" for i in range(30)], *item[:50], *[f"n{i}" for i in range(8)], *item[50:], *[f"q{i}" for i in range(30)]]
+    best = max(leak_similarity(text[s : s + 100], item) for s in range(len(text) - 100))
+    assert leak_similarity(text[30:130], item) < 0.75 and leak_similarity(text[38:138], item) < 0.75 <= best
+    frame = llm.createDataFrame([(1, " ".join(text)), (2, prose(4, 200))], "doc_id long, text string")
+    benchmark = llm.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    assert [(r.item, r.similarity) for r in decontaminate.find_leaks(frame, benchmark).collect()] == [(7, best)]
+    assert [r.doc_id for r in decontaminate.decontaminate(frame, benchmark).collect()] == [2]
+
+
 def test_every_fingerprint_within_the_radius_is_met(llm):
     from pyspark.sql import functions as F
 
