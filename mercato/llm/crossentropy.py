@@ -9,7 +9,9 @@ target.
 Documents lie in blocks of a bounded size.  A block sends each of its distinct
 bigrams, words and contexts once, with its own counts, to the part of the key range
 it belongs to; there the counts of all blocks are summed and sent back.  So neither
-the models nor the tokens of a common word are ever in one place.
+the models nor the tokens of a common word are ever in one place.  Texts, keys and
+counts are packed before they are written or shuffled, and which documents are in the
+target is found by key alone, so texts move once.
 """
 
 from __future__ import annotations
@@ -64,60 +66,90 @@ def _keys(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, at.reshape(3, -1), words.row
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Numbers or bytes, compressed a byte of each number at a time: small and evenly spread numbers take few bytes."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int, kind) -> np.ndarray:
+    kind = np.dtype(kind)
+    planes = pa.decompress(data, decompressed_size=n * kind.itemsize, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(kind.itemsize, n).T).view(kind).reshape(-1)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 33
     for batch in batches:
         for part in pieces(batch, "text"):
-            words = Texts(part.column("text")).words()
-            n, good = np.diff(words.first), part.column("good").fill_null(False)
-            lists = [pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), c) for c in (part.column("id"), part.column("text"), good)]
-            sums = [int(n.sum()), int(n[good.to_numpy(zero_copy_only=False)].sum())]
+            texts = Texts(part.column("text"))
+            ids = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column("id"))
+            held = [pa.array([packed(x)], pa.binary()) for x in (np.diff(texts.offsets), texts.bytes)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number]), *lists, *[pa.array([s]) for s in sums]], ["block", "ids", "texts", "good", "n", "n_good"]
+                [pa.array([number]), ids, pa.array([len(texts.bytes)]), *held, pa.array([len(texts.words())])], ["block", "ids", "size", "lengths", "texts", "n"]
             )
             number += 1
 
 
+def _texts(rows: int, size: int, lengths: bytes, texts: bytes) -> Texts:
+    offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(unpacked(lengths, rows, np.int64))))
+    data = unpacked(texts, size, np.uint8).tobytes()
+    return Texts(pa.LargeStringArray.from_buffers(rows, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)))
+
+
 def _sent(bits: int):
-    """(block, part, keys, n, n_good): the distinct keys of a block by part of the key range."""
+    """(block, part, m, keys, n, n_good): the ``m`` distinct keys of a block in a part of the key range, as steps from the one before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                keys, at, rows = _keys(Texts(batch.column("texts")[i].values))
-                good = np.tile(batch.column("good")[i].values.to_numpy(zero_copy_only=False)[rows], 3)
+            for row in batch.to_pylist():
+                keys, at, rows = _keys(_texts(row["rows"], row["size"], row["lengths"], row["texts"]))
+                in_target = np.zeros(row["rows"], bool)
+                in_target[row["good"] or []] = True
                 n = np.bincount(at.ravel(), minlength=len(keys)).astype(np.uint32)
-                n_good = np.bincount(at.ravel()[good], minlength=len(keys)).astype(np.uint32)
+                n_good = np.bincount(at.ravel()[np.tile(in_target[rows], 3)], minlength=len(keys)).astype(np.uint32)
                 parts = keys >> np.uint64(64 - bits)
                 first = np.flatnonzero(np.concatenate(([True], parts[1:] != parts[:-1]))) if len(keys) else np.zeros(0, int)
-                cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(keys)], strict=True)) if len(keys) else []
-                held = [pa.array([c[a:b].tobytes() for a, b in cuts], pa.binary()) for c in (keys, n, n_good)]
-                block = pa.array([batch.column("block")[i].as_py()] * len(cuts), pa.int64())
-                yield pa.RecordBatch.from_arrays([block, pa.array(parts[first].astype(np.int64)), *held], ["block", "part", "keys", "n", "n_good"])
+                ends = np.append(first[1:], len(keys))[: len(first)]
+                steps = np.diff(keys, prepend=np.uint64(0))
+                steps[first] = keys[first] - (parts[first] << np.uint64(64 - bits))
+                held = [pa.array([packed(c[a:b]) for a, b in zip(first.tolist(), ends.tolist(), strict=True)], pa.binary()) for c in (steps, n, n_good)]
+                block = pa.array([row["block"]] * len(first), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [block, pa.array(parts[first].astype(np.int64)), pa.array(ends - first, pa.int64()), *held], ["block", "part", "m", "keys", "n", "n_good"]
+                )
 
     return run
 
 
-def _values(column: pa.ChunkedArray, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind)
+def _values(rows: pa.Table, column: str, kind) -> np.ndarray:
+    found = [unpacked(v, m, kind) for m, v in zip(rows["m"].to_pylist(), rows[column].to_pylist(), strict=True)]
+    return np.concatenate(found) if found else np.zeros(0, kind)
+
 
+def _summed(bits: int):
+    """The counts of all blocks for the keys that each block sent; one row has the distinct words and the tokens of both models."""
 
-def _summed(sent: pa.Table) -> pa.Table:
-    """The counts of all blocks for the keys that each block sent; ``words`` has the distinct words in one row."""
-    keys, at = np.unique(_values(sent["keys"], np.uint64), return_inverse=True)
-    sums = [np.bincount(at, weights=_values(sent[c], np.uint32), minlength=len(keys)).astype(np.int64)[at] for c in ("n", "n_good")]
-    cuts = np.cumsum([0, *[len(k.as_buffer()) // 8 for k in sent["keys"]]]).tolist()
-    held = [pa.array([s[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()) for s in sums]
-    words = [int((keys & _KIND == 1).sum())] + [0] * (sent.num_rows - 1)
-    return pa.table([sent["block"], sent["part"], *held, pa.array(words, pa.int64())], names=["block", "part", "n", "n_good", "words"])
+    def run(sent: pa.Table) -> pa.Table:
+        start = np.uint64(sent["part"][0].as_py()) << np.uint64(64 - bits)
+        steps = [np.cumsum(unpacked(v, m, np.uint64), dtype=np.uint64) for m, v in zip(sent["m"].to_pylist(), sent["keys"].to_pylist(), strict=True)]
+        keys, at = np.unique(np.concatenate(steps) + start, return_inverse=True)
+        sums = [np.bincount(at, weights=_values(sent, c, np.uint32), minlength=len(keys)).astype(np.int64) for c in ("n", "n_good")]
+        cuts = np.cumsum([0, *sent["m"].to_pylist()]).tolist()
+        held = [pa.array([packed(s[at[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()) for s in sums]
+        words = keys & _KIND == 1
+        totals = [pa.array([int(x)] + [0] * (sent.num_rows - 1), pa.int64()) for x in (words.sum(), sums[0][words].sum(), sums[1][words].sum())]
+        return pa.table([sent["block"], sent["part"], sent["m"], *held, *totals], names=["block", "part", "m", "n", "n_good", "words", "total", "total_good"])
+
+    return run
 
 
 def _scored(total: int, total_good: int, words: int):
     def score(blocks: pa.Table, sums: pa.Table) -> pa.Table:
         sums = sums.sort_by("part")
-        n, n_good = _values(sums["n"], np.int64), _values(sums["n_good"], np.int64)
-        ids, texts = (blocks[c].combine_chunks().flatten() for c in ("ids", "texts"))
-        _, (pair, word, context), rows = _keys(Texts(texts))
+        n, n_good = _values(sums, "n", np.int64), _values(sums, "n_good", np.int64)
+        ids = blocks["ids"].combine_chunks().flatten()
+        _, (pair, word, context), rows = _keys(_texts(len(ids), *[blocks[c][0].as_py() for c in ("size", "lengths", "texts")]))
         difference = np.log(_p(n[pair], n[context], n[word], total, words)) - np.log(_p(n_good[pair], n_good[context], n_good[word], total_good, words))
         length = np.bincount(rows, minlength=len(ids))
         mean = np.bincount(rows, weights=difference, minlength=len(ids)) / np.maximum(length, 1)
@@ -138,17 +170,20 @@ def score_documents(documents: DataFrame, target: DataFrame, key: str = "doc_id"
     """
     texts = documents.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
     id_type = texts.schema["id"].dataType.simpleString()
-    ids = target.select(F.col(f"`{key}`").alias("id")).dropna().distinct().withColumn("good", F.lit(True))
-    flagged = texts.join(ids.hint("merge"), "id", "left").select("id", "text", "good")
-    schema = f"block long, ids array<{id_type}>, texts array<string>, good array<boolean>, n long, n_good long"
-    blocks = stored(flagged.mapInArrow(_blocks, schema), "blocks")
-    total, total_good = (int(x or 0) for x in blocks.agg(F.sum("n"), F.sum("n_good")).first())
-    bits = max(PART_BITS, (total // PART_TOKENS).bit_length())
-    sent = blocks.select("block", "texts", "good").mapInArrow(_sent(bits), "block long, part long, keys binary, n binary, n_good binary")
-    sums = stored(sent.groupBy("part").applyInArrow(_summed, "block long, part long, n binary, n_good binary, words long"), "sums")
-    words = int(sums.agg(F.sum("words")).first()[0] or 0)
-    back = sums.select("block", "part", "n", "n_good").groupBy("block")
-    scored = blocks.select("block", "ids", "texts").groupBy("block").cogroup(back).applyInArrow(
+    ids = target.select(F.col(f"`{key}`").alias("id")).dropna()
+    schema = f"block long, ids array<{id_type}>, size long, lengths binary, texts binary, n long"
+    blocks = stored(texts.mapInArrow(_blocks, schema), "blocks")
+    places = blocks.select("block", F.posexplode("ids").alias("row", "id")).join(ids, "id", "left_semi")
+    # A few bytes for a document, so the blocks need no shuffle to get them until the corpus has millions of them.
+    good = stored(places.groupBy("block").agg(F.collect_list("row").alias("good")), "good")
+    bits = max(PART_BITS, (int(blocks.agg(F.sum("n")).first()[0] or 0) // PART_TOKENS).bit_length())
+    flagged = blocks.withColumn("rows", F.size("ids")).drop("ids", "n").join(good, "block", "left")
+    sent = flagged.mapInArrow(_sent(bits), "block long, part long, m long, keys binary, n binary, n_good binary")
+    counts = "block long, part long, m long, n binary, n_good binary, words long, total long, total_good long"
+    sums = stored(sent.groupBy("part").applyInArrow(_summed(bits), counts), "sums")
+    words, total, total_good = (int(x or 0) for x in sums.agg(F.sum("words"), F.sum("total"), F.sum("total_good")).first())
+    back = sums.select("block", "part", "m", "n", "n_good").groupBy("block")
+    scored = blocks.drop("n").groupBy("block").cogroup(back).applyInArrow(
         _scored(total, total_good, words), f"id {id_type}, n_words long, score double"
     )
     return scored.withColumnRenamed("id", key)

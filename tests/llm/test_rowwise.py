@@ -301,3 +301,26 @@ def test_scores_of_odd_rows(llm, odd, nothing):
 def test_digest_of_spans(llm):
     row = llm.createDataFrame([("a@b.cc 1.2.3.4",)], "t string").select(pii.written(pii.base_spans(F.col("t"))).alias("w")).first()
     assert row.w == "email:0:6,ip:7:14" and hashlib.sha256(row.w.encode()).hexdigest()
+
+
+def test_cross_entropy_blocks_and_keys_are_packed():
+    """A block's texts come back as they were; its keys and counts take under 8 bytes each, where plain ones take 16."""
+    import numpy as np
+    import pyarrow as pa
+
+    from mercato.llm.vectors import Texts
+
+    rng = np.random.default_rng(10)
+    texts = pa.array([*(" ".join(f"w{x}" for x in rng.integers(0, 5_000, 400)) for _ in range(200)), None, "", "\u00e9 x"])
+    whole = Texts(texts)
+    lengths, data = crossentropy.packed(np.diff(whole.offsets)), crossentropy.packed(whole.bytes)
+    again = crossentropy._texts(len(texts), len(whole.bytes), lengths, data)
+    assert again.bytes.tobytes() == whole.bytes.tobytes() and again.offsets.tolist() == whole.offsets.tolist()
+    row = {"block": 1, "rows": len(texts), "size": len(whole.bytes), "lengths": lengths, "texts": data, "good": [0, 3]}
+    (sent,) = crossentropy._sent(8)(iter([pa.RecordBatch.from_pylist([row])]))
+    sent = pa.Table.from_batches([sent])
+    keys, at, _ = crossentropy._keys(whole)
+    steps = [np.cumsum(crossentropy.unpacked(v, m, np.uint64), dtype=np.uint64) for m, v in zip(sent["m"].to_pylist(), sent["keys"].to_pylist(), strict=True)]
+    assert np.concatenate([s + (np.uint64(p) << np.uint64(56)) for s, p in zip(steps, sent["part"].to_pylist(), strict=True)]).tolist() == keys.tolist()
+    assert crossentropy._values(sent, "n", np.uint32).tolist() == np.bincount(at.ravel()).tolist()
+    assert sum(len(v) for c in ("keys", "n", "n_good") for v in sent[c].to_pylist()) < 8 * len(keys)
