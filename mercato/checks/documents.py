@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from mercato.checks.registry import check
 from mercato.checks.sql import avg, big, dbl, half_up
 from mercato.functions.text import WORD_BREAK, word_forms
+from mercato.operators.filters import may_be_in
 from mercato.plans import documents
 
 PRODUCT_QUERY = "red widgets bolt"
@@ -288,13 +289,11 @@ def _(m):
         ON p.product_id = r.product_id""",
 )
 def _(m):
-    bought = m.items.select("order_id", "product_id").distinct()
-    product_reviews = m.reviews.select("order_id", "review_id", "review_score").join(bought, "order_id").drop("order_id")
-    return documents.catalog_with_reviews(m.catalog, product_reviews)
+    return documents.catalog_with_reviews(m.catalog, _product_reviews(m))
 
 
 def _product_reviews(m):
-    bought = m.items.select("order_id", "product_id").distinct()
+    bought = may_be_in(m.items.select("order_id", "product_id"), "order_id", m.reviews).distinct()
     return m.reviews.select("order_id", "review_id", "review_score").join(bought, "order_id").drop("order_id")
 
 

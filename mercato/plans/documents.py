@@ -12,6 +12,7 @@ from mercato.functions.jsonq import parsed
 from mercato.functions.numeric import mean, round_half_up
 from mercato.functions.ordering import largest_first, top_k
 from mercato.functions.text import mentions, text_score
+from mercato.operators.filters import may_be_in
 from mercato.operators.profile import with_share
 from mercato.operators.ranks import running_numbers
 
@@ -36,7 +37,9 @@ def _product_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
 def _product_ratings(items: DataFrame, reviews: DataFrame) -> DataFrame:
     # A review counts once per product however many items of it the order had.
     review = ["review_id", "review_score", "review_creation_date"]
-    once = items.select("order_id", "product_id").join(reviews.select("order_id", *review), "order_id")
+    # Most orders have no review.
+    reviewed = may_be_in(items.select("order_id", "product_id"), "order_id", reviews)
+    once = reviewed.join(reviews.select("order_id", *review), "order_id")
     once = once.select("product_id", *review).distinct()
     return once.groupBy("product_id").agg(
         F.count("*").alias("reviews"),

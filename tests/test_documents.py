@@ -250,3 +250,14 @@ def test_review_pages_of_a_hot_product(spark, parts):
     assert sorted((r["_id"], r["page"], r["reviews"]) for r in found if r["_id"] != "p1") == [(p, 1, []) for p in ("p2", "p3", "p4", "p5")]
     again = {(r["_id"], r["page"], v["review_id"]) for r in rows(documents.catalog_review_pages(catalog, many.repartition(5), page_rows=7)) for v in r["reviews"]}
     assert again == {(r["_id"], r["page"], v["review_id"]) for r in found for v in r["reviews"]}
+
+
+def test_items_without_reviews_stay_out_of_the_shuffle(spark, parts, capsys):
+    """The ratings drop most items before the join; the filter is a broadcast, also where joins are not."""
+    products, translation, items, orders, reviews = parts
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        documents._product_ratings(items, reviews).explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "bit_or" in (plan := capsys.readouterr().out) and "BroadcastHashJoin" in plan

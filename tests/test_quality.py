@@ -143,3 +143,13 @@ def test_counts_come_with_the_write(customers, tmp_path):
     assert sorted(v for r in marked.collect() for v in r["_violations"]) == ["state regex", "zip regex"]
     with pytest.raises(ValueError, match="check_rules"):
         quality.observe_rules(customers, [quality.unique(["id"])])
+
+
+def test_rows_that_may_be_listed(spark):
+    """All listed rows pass and hardly any other, whatever the integer type; a filter that is full lets all through."""
+    df = spark.range(20_000).selectExpr("id", "CAST(id AS INT) AS key").unionAll(spark.sql("SELECT 7L, CAST(NULL AS INT)"))
+    listed = spark.range(0, 20_000, 100).selectExpr("id AS key").unionAll(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    found = {r["key"] for r in filters.may_be_in(df, "key", listed).collect()}
+    assert found >= set(range(0, 20_000, 100)) and len(found) < 220 and None not in found
+    assert len({r["key"] for r in filters.may_be_in(df, "key", listed, bits=64).collect()} & set(range(0, 20_000, 100))) == 200
+    assert filters.may_be_in(df, "key", listed.limit(0)).count() == 0
