@@ -19,6 +19,8 @@ from mercato.operators.ranks import running_numbers
 #: Offers that a product document embeds, and reviews on a page of a product, at most.
 EMBEDDED_OFFERS = 10
 PAGE_REVIEWS = 50
+#: Sellers that are joined to the offers by broadcast, at most.
+BROADCAST_SELLERS = 500_000
 
 # -- building documents -----------------------------------------------------
 
@@ -57,9 +59,11 @@ def product_offers(items: DataFrame, sellers: DataFrame, stock: DataFrame) -> Da
     offers = items.groupBy("product_id", "seller_id").agg(
         F.min("price").alias("price"), F.min("freight_value").alias("shipping_cost")
     )
-    return offers.join(stock, ["product_id", "seller_id"], "left").join(
-        sellers.select("seller_id", "seller_name"), "seller_id"
-    )
+    names = sellers.select("seller_id", "seller_name")
+    # Counted first: a broadcast saves a shuffle of all offers by seller.
+    if names.limit(BROADCAST_SELLERS + 1).count() <= BROADCAST_SELLERS:
+        names = F.broadcast(names)
+    return offers.join(stock, ["product_id", "seller_id"], "left").join(names, "seller_id")
 
 
 def _placed_offers(offers: DataFrame) -> DataFrame:

@@ -261,3 +261,19 @@ def test_items_without_reviews_stay_out_of_the_shuffle(spark, parts, capsys):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "bit_or" in (plan := capsys.readouterr().out) and "BroadcastHashJoin" in plan
+
+
+def test_counted_sellers_are_broadcast_to_offers(spark, shop, monkeypatch, capsys):
+    stock = spark.createDataFrame([("p1", "s1", 3), ("p4", "s2", 0)], "product_id STRING, seller_id STRING, stock INT")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = documents.product_offers(shop.items, shop.sellers, stock)
+        few.explain()
+        assert "BroadcastHashJoin" in capsys.readouterr().out
+        monkeypatch.setattr(documents, "BROADCAST_SELLERS", 0)
+        many = documents.product_offers(shop.items, shop.sellers, stock)
+        many.explain()
+        assert "BroadcastHashJoin" not in capsys.readouterr().out
+        assert sorted(map(str, few.collect())) == sorted(map(str, many.collect())) != []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
