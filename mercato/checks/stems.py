@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from mercato.checks.registry import check
 from mercato.functions import stemming
-from mercato.functions.text import STOP_WORDS, WORD_BREAK
+from mercato.functions.text import STOP_WORDS, WORD_BREAK, folded
+from mercato.operators.filters import may_be_in
+from mercato.session import settled
 
 
 def _stage(column: str, endings: list[stemming.Ending], otherwise: str) -> str:
@@ -37,10 +39,20 @@ STEMS = f"""SELECT word, {_stage("w", stemming.NOUN, _stage("w", stemming.VERB,
 )
 def _(m):
     """Words, different forms and documents of each stem, over all documents."""
-    words = m.table("documents").select("doc_id", F.explode(stemming.tokens(F.coalesce("text", F.lit("")))).alias("word"))
-    # Counted by word first: a stem is computed once for each word, and a frequent stem is spread over its documents.
-    counted = words.groupBy("word", "doc_id").agg(F.count("*").alias("n"))
-    known = counted.groupBy("word").agg(F.count("*").alias("_")).select("word", stemming.stemmed(F.col("word")).alias("stem"))
-    each = counted.join(known, "word").groupBy("stem", "doc_id").agg(F.sum("n").alias("n"))
-    totals = each.groupBy("stem").agg(F.sum("n").alias("words"), F.count("*").alias("documents"))
-    return totals.join(known.groupBy("stem").agg(F.count("*").alias("forms")), "stem").select("stem", "words", "forms", "documents")
+    docs = m.table("documents").select("doc_id", F.split(folded(F.coalesce("text", F.lit(""))), WORD_BREAK).alias("all"))
+    wanted = (F.col("word") != "") & ~F.col("word").isin(list(STOP_WORDS))
+    # A row tells which of its words are new to the document, unless other rows have its doc_id: few, told apart below.
+    again = settled(m.table("documents").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id", F.lit(True).alias("again")), "repeated")
+    marked = stemming.bound(F.sort_array("all"), lambda ws: F.transform(ws, lambda w, i: F.struct(w.alias("word"), ((i == 0) | (F.get(ws, i - 1) != w)).alias("new"))))
+    words = docs.join(again, "doc_id", "left").select("doc_id", "again", F.inline(marked)).where(wanted)
+    known = words.groupBy("word").agg(
+        F.count("*").alias("n"), F.count_if(F.col("new") & F.col("doc_id").isNotNull()).alias("documents"), F.coalesce(F.bool_or("again"), F.lit(False)).alias("again")
+    )
+    # Written: else a filter on the stem moves below the counts, and each occurrence is stemmed.
+    known = settled(known.withColumn("stem", stemming.stemmed(F.col("word"))), "stems")
+    totals = known.groupBy("stem").agg(F.sum("n").alias("words"), F.count("*").alias("forms"), F.max("documents").alias("documents"), F.bool_or("again").alias("again"))
+    # A stem of one form has that word's documents.  Those of others are counted; a frequent stem is spread over them.
+    forms = known.select("word", "stem").join(totals.where("forms > 1 OR again").select("stem"), "stem", "left_semi")
+    own = docs.where("doc_id IS NOT NULL").select("doc_id", F.explode(F.array_distinct("all")).alias("word")).where(wanted)
+    apart = may_be_in(own, "word", forms).join(forms, "word").select("stem", "doc_id").distinct().groupBy("stem").agg(F.count("*").alias("apart"))
+    return totals.join(apart, "stem", "left").select("stem", "words", "forms", F.coalesce("apart", "documents").alias("documents"))

@@ -67,7 +67,7 @@ VERB = _longest_first(
 VOWEL = [Ending(v, 3) for v in ("ao", "a", "e", "o")]
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with the value computed once, however often it is mentioned."""
     return F.element_at(F.transform(F.array(value), use), 1)
 
@@ -80,7 +80,7 @@ def _applied(word: Column, endings: list[Ending]) -> Column:
     ])
     # The rules are one constant, so the plan stays small whatever their number.
     fits = F.filter(rules, lambda r: F.endswith(word, r["text"]) & (F.length(word) >= r["least"]) & ~F.array_contains(r["spared"], word))
-    return _bound(F.get(fits, F.lit(0)), lambda r: F.when(r.isNotNull(), F.concat(F.left(word, F.length(word) - F.length(r["text"])), r["to"])))
+    return bound(F.get(fits, F.lit(0)), lambda r: F.when(r.isNotNull(), F.concat(F.left(word, F.length(word) - F.length(r["text"])), r["to"])))
 
 
 def stemmed(word: Column) -> Column:
@@ -98,7 +98,7 @@ def stemmed(word: Column) -> Column:
         lambda w: F.coalesce(_applied(w, NOUN), _applied(w, VERB), _applied(w, VOWEL), w),
     ]
     for run in stages:
-        word = _bound(word, run)
+        word = bound(word, run)
     return word
 
 
