@@ -344,6 +344,89 @@ def test_exact_passages_whose_parts_are_common(llm):
     assert all(r.start_word <= 70 and r.end_word >= 130 and r.other == r.doc_id ^ 1 for r in found)
 
 
+def worn(words_, share, draw):
+    """The words with exactly that share of them replaced, at random places."""
+    out = list(words_)
+    for i in draw.sample(range(len(out)), round(share * len(out))):
+        out[i] = f"e{draw.randrange(10**9)}"
+    return out
+
+
+def test_tiers_hold_the_equal_runs_of_every_stretch():
+    for c in range(50, 100):
+        tier = next(t for t in passages.TIERS if c <= t[0])
+        assert c - 3 * (c // 4) - 2 >= tier[1]
+
+
+def test_edited_passages_of_one_pair_are_found(llm):
+    draw = random.Random(77)
+    vocabulary = [f"v{i}" for i in range(20000)]
+    rows, pairs = [], set()
+    for length in (60, 100):
+        for share in (0.05, 0.1, 0.15, 0.2, 0.25):
+            for _ in range(20):
+                key, common = len(rows), draw.choices(vocabulary, k=length)
+                for j, part in enumerate((common, worn(common, share, draw))):
+                    rows.append((key + j, " ".join(draw.choices(vocabulary, k=80) + part + draw.choices(vocabulary, k=80))))
+                pairs.add((key, key + 1))
+    found = passages.find_passages(llm.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {(r.doc_id & ~1, r.doc_id | 1) for r in found} == pairs
+    assert all(r.other == r.doc_id ^ 1 and r.start_word < 140 and r.end_word > 80 for r in found)
+
+
+def test_a_worn_passage_links_all_its_holders(llm):
+    # Every holder has lost other words, so no first holder of a seed stands for the others.
+    draw = random.Random(5)
+    common = prose(7700, 80).split()
+    rows = [(i, " ".join([*prose(7800 + i, 60).split(), *worn(common, 0.1, draw), *prose(7900 + i, 60).split()])) for i in range(30)]
+    found = passages.find_passages(llm.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {(r.doc_id, r.n_links, r.other) for r in found} == {(i, 29, 0 if i else 1) for i in range(30)}
+
+
+def test_pairs_miss_no_stretch_of_a_small_vocabulary(llm):
+    # Few words, so that most runs are frequent: the thresholds decide what is compared.
+    draw = random.Random(3)
+    vocabulary = [f"v{i}" for i in range(30)]
+    rows = []
+    for i in range(60):
+        common = draw.choices(vocabulary, k=52)
+        for j in range(2):
+            part = worn(common, 0.24, draw) if j else common
+            part = [w if w[0] == "v" else draw.choice(vocabulary) for w in part]
+            rows.append((2 * i + j, draw.choices(vocabulary, k=draw.randrange(5, 60)) + part + draw.choices(vocabulary, k=draw.randrange(60))))
+    links = set()
+    for a, left in rows:
+        for b, right in rows:
+            for shift in range(50 - len(right), len(left) - 49) if a < b else ():
+                x = max(shift, 0)
+                same = [u == v for u, v in zip(left[x:], right[x - shift :], strict=False)]
+                if any(4 * sum(same[i : i + 50]) >= 150 for i in range(len(same) - 49)):
+                    links.add((a, b))
+                    break
+    frame = llm.createDataFrame([(k, " ".join(t)) for k, t in rows], "doc_id long, text string").repartition(3)
+    pairs, _ = passages.class_passages(frame.select("text"))
+    ids = {r["class"]: r.id for r in frame.selectExpr("doc_id AS id", "text").mapInArrow(passages._members, "id long, n long, class long").collect()}
+    assert len(links) >= 50
+    assert links <= {tuple(sorted((ids[r.a], ids[r.b]))) for r in pairs.collect()}
+
+
+def test_common_runs_link_their_holders_without_pairs(llm):
+    common = prose(8800, 70)
+    rows = [(i, f"{prose(20000 + i, 60)} {common} {prose(30000 + i, 60)}") for i in range(150)]
+    frame = llm.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    pairs, groups = passages.class_passages(frame.select("text"))
+    assert pairs.count() == 0 and groups.select("class").distinct().count() == 150
+    found = passages.find_passages(frame).collect()
+    assert {(r.doc_id, r.n_links, r.other) for r in found} == {(i, 149, 0 if i else 1) for i in range(150)}
+    assert all(r.start_word <= 60 and r.end_word >= 130 for r in found)
+
+
+def test_words_that_repeat_over_and_over(monkeypatch):
+    left, right = np.zeros(3000, np.uint32), np.concatenate((np.arange(1, 900, dtype=np.uint32), np.zeros(2000, np.uint32)))
+    spans = passages.pair_passages(left, right)
+    assert spans and all(x1 - x0 >= 50 and y0 >= 850 for x0, x1, y0, _, _ in spans)
+
+
 def test_passages_of_odd_rows(odd, nothing):
     assert {r.doc_id for r in passages.find_passages(odd).collect()} == {None, 4}
     assert passages.find_passages(nothing).count() == 0
