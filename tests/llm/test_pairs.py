@@ -410,6 +410,42 @@ def test_pairs_miss_no_stretch_of_a_small_vocabulary(llm):
     assert links <= {tuple(sorted((ids[r.a], ids[r.b]))) for r in pairs.collect()}
 
 
+def test_frequent_runs_miss_no_stretch(llm):
+    # Every run of a few texts counts as frequent here, so runs join with a run of two words near them.
+    draw = random.Random(13)
+    vocabulary = [f"v{i}" for i in range(25)]
+    rows = []
+    for i in range(60):
+        common = draw.choices(vocabulary, k=52)
+        for j in range(2):
+            part = worn(common, 0.24, draw) if j else common
+            part = [w if w[0] == "v" else draw.choice(vocabulary) for w in part]
+            rows.append((2 * i + j, draw.choices(vocabulary, k=draw.randrange(5, 60)) + part + draw.choices(vocabulary, k=draw.randrange(60))))
+    frame = llm.createDataFrame([(k, " ".join(t)) for k, t in rows], "doc_id long, text string").repartition(3)
+    ids = {r["class"]: r.id for r in frame.selectExpr("doc_id AS id", "text").mapInArrow(passages._members, "id long, n long, class long").collect()}
+    found = {tuple(sorted((ids[r.a], ids[r.b]))) for r in passages.class_passages(frame.select("text"), wide=0)[0].collect()}
+    usual = {tuple(sorted((ids[r.a], ids[r.b]))) for r in passages.class_passages(frame.select("text"), wide=255)[0].collect()}
+    assert {(2 * i, 2 * i + 1) for i in range(60)} <= found == usual
+
+
+def test_holders_of_a_common_line_are_no_candidates(llm):
+    # The line has as many equal runs as the worst passage; only what stands around it tells.
+    line = prose(8900, 13)
+    rows = [(i, f"{prose(40000 + i, 60)} {line} {prose(50000 + i, 60)}") for i in range(200)]
+    left, right = prose(8901, 30).split(), prose(8902, 30).split()
+    draw = random.Random(2)
+    rows += [(300 + j, " ".join([*prose(60000 + j, 40).split(), *worn(left, 0.2 * j, draw), *line.split(), *worn(right, 0.2 * j, draw), *prose(61000 + j, 40).split()])) for j in range(2)]
+    frame = llm.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert passages.candidates(frame.select("text"), wide=48).filter("NOT group").count() < 200
+    assert {(r.doc_id, r.other) for r in passages.find_passages(frame).collect()} == {(300, 301), (301, 300)}
+
+
+def test_tiers_hold_the_equal_runs_of_two_of_every_stretch():
+    for c in range(50, 100):
+        tier = next(t for t in passages.TWO_TIERS if c <= t[0])
+        assert c - 2 * (c // 4) - 1 >= tier[1] >= passages.EQUAL_TWOS
+
+
 def test_common_runs_link_their_holders_without_pairs(llm):
     common = prose(8800, 70)
     rows = [(i, f"{prose(20000 + i, 60)} {common} {prose(30000 + i, 60)}") for i in range(150)]
