@@ -463,6 +463,75 @@ def test_words_that_repeat_over_and_over(monkeypatch):
     assert spans and all(x1 - x0 >= 50 and y0 >= 850 for x0, x1, y0, _, _ in spans)
 
 
+def plain_gap(left, right):
+    cost = {(i, j): i + j for i in range(len(left) + 1) for j in range(len(right) + 1) if not i or not j}
+    for i in range(1, len(left) + 1):
+        for j in range(1, len(right) + 1):
+            cost[i, j] = min(cost[i - 1, j - 1] + (left[i - 1] != right[j - 1]), cost[i - 1, j] + 1, cost[i, j - 1] + 1)
+    out, i, j = [], len(left), len(right)
+    while i or j:
+        if i and j and cost[i, j] == cost[i - 1, j - 1] + (left[i - 1] != right[j - 1]):
+            i, j = i - 1, j - 1
+            out.append((1, 1, left[i] == right[j]))
+        elif i and cost[i, j] == cost[i - 1, j] + 1:
+            i -= 1
+            out.append((1, 0, False))
+        else:
+            j -= 1
+            out.append((0, 1, False))
+    return out[::-1]
+
+
+def plain_subsequence(left, right):
+    best = {}
+    for i in range(len(left) + 1):
+        for j in range(len(right) + 1):
+            best[i, j] = 0 if not i or not j else best[i - 1, j - 1] + 1 if left[i - 1] == right[j - 1] else max(best[i - 1, j], best[i, j - 1])
+    return best[len(left), len(right)]
+
+
+def test_gaps_and_extensions_equal_brute_force():
+    draw = np.random.default_rng(12)
+    for _ in range(400):
+        left, right = (draw.integers(0, draw.integers(2, 9), draw.integers(0, 70)).astype(np.uint32) for _ in range(2))
+        assert passages._gap(left, right) == plain_gap(left.tolist(), right.tolist())
+        assert passages._edit(left, right) == plain_subsequence(left.tolist(), right.tolist())
+        score = best = stop = same = equal = 0
+        for at, (u, v) in enumerate(zip(left.tolist(), right.tolist(), strict=False)):
+            score, same = score + (1 if u == v else -2), same + (u == v)
+            if score > best:
+                best, stop, equal = score, at + 1, same
+            if best - score > passages.DROP:
+                break
+        assert passages._extension(left, right) == (stop, equal)
+
+
+def compared(monkeypatch, *texts):
+    """The pairs (places of texts) that get aligned when all texts meet, and their spans."""
+    aligned, plain = [], passages.pair_passages
+    monkeypatch.setattr(passages, "pair_passages", lambda *a: aligned.append(1) or plain(*a))
+    pairs = pa.table({"a": [i for i in range(len(texts)) for _ in range(i)], "b": [j for i in range(len(texts)) for j in range(i)]})
+    held = pa.table({"class": range(len(texts)), "words": pa.array([np.array(t, np.uint32).tobytes() for t in texts], pa.binary())})
+    out = passages._compared(pairs, held).to_pylist()
+    return len(aligned), out
+
+
+def test_texts_without_the_words_of_a_passage_are_not_aligned(monkeypatch):
+    # A word 40 times in one text and 30 times in the other: 38 by 28 equal runs, but no 38 equal words.
+    left, right = [1] * 40 + list(range(100, 160)), list(range(200, 260)) + [1] * 30
+    assert compared(monkeypatch, left, right) == (0, [])
+
+
+def test_passages_with_the_fewest_equal_words_are_aligned(monkeypatch):
+    # 50 words, 12 of them unequal, every fourth; and a word that comes 50 times in both texts.
+    common = list(range(1, 51))
+    worn_ = [w if i % 4 != 3 else 1000 + i for i, w in enumerate(common)]
+    n, found = compared(monkeypatch, list(range(100, 130)) + common, worn_ + list(range(200, 240)))
+    assert n == 1 and [(r["a_start"], r["a_end"], r["b_start"], r["b_end"]) for r in found] == [(0, 50, 30, 80)]
+    n, found = compared(monkeypatch, [1] * 50 + list(range(100, 130)), list(range(200, 240)) + [1] * 50)
+    assert n == 1 and {(r["a_start"], r["a_end"], r["b_start"], r["b_end"]) for r in found} >= {(40, 90, 0, 50)}
+
+
 def test_passages_of_odd_rows(odd, nothing):
     assert {r.doc_id for r in passages.find_passages(odd).collect()} == {None, 4}
     assert passages.find_passages(nothing).count() == 0
